@@ -17,12 +17,16 @@ def parse_day(text: Column, month_grain: str = "first_day") -> Column:
     reaches Silver and Gold; ``"drop"`` leaves it NULL (and the Silver filter
     then drops it), which is what a strict day parse does.
     """
-    day = F.try_to_date(text, DAY_FORMAT)
+    # The parser is strict: only a 10-character text can match yyyy-MM-dd and
+    # only a 7-character one yyyy-MM.  Guarding on length skips a failing parse
+    # (an exception per row inside the JVM) without changing any result.
+    n = F.length(text)
+    day = F.when(n == 10, F.try_to_date(text, DAY_FORMAT))
     if month_grain == "drop":
         return day
     if month_grain != "first_day":
         raise ValueError(f"month_grain must be 'first_day' or 'drop', got {month_grain!r}")
-    return F.coalesce(day, F.try_to_date(text, MONTH_FORMAT))
+    return F.coalesce(day, F.when(n == 7, F.try_to_date(text, MONTH_FORMAT)))
 
 
 def calendar_columns(day: Column) -> dict[str, Column]:
