@@ -59,12 +59,14 @@ def anomalies(
     group: Sequence[str] = GROUP,
     stat_places: int | None = None,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Usage rows whose |z| > 2 within their group.
 
     ``group`` defaults to (product, metric_name, month): months of different
     years share a group, as in the source system.  ``stat_places`` rounds the
     reported mean and stddev (the z-score uses the unrounded values).
+    ``carry`` names extra Silver columns to keep (e.g. ``_silver_updated_at``).
     """
     group = list(group)
     stats, _ = broadcast_if_small(stage(group_stats(silver, group), "anomaly-stats"), broadcast_max_rows)
@@ -76,4 +78,4 @@ def anomalies(
                 "stddev_value": F.round("stddev_value", stat_places),
             }
         )
-    return scored.select(*OUTPUT)
+    return scored.select(*OUTPUT, *[c for c in carry if c in scored.columns])

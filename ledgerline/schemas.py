@@ -66,6 +66,41 @@ SILVER_COLUMNS = [
     "is_cost_metric", "extracted_at", "_silver_updated_at",
 ]
 
+SILVER_SCHEMA = T.StructType(
+    [
+        T.StructField("product", T.StringType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("week_of_year", T.IntegerType()),
+        T.StructField("day_of_week", T.StringType()),
+        T.StructField("org_name", T.StringType()),
+        T.StructField("metric_name", T.StringType()),
+        T.StructField("metric_category", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("value_normalized", T.DoubleType()),
+        T.StructField("unit", T.StringType()),
+        T.StructField("unit_normalized", T.StringType()),
+        T.StructField("is_cost_metric", T.BooleanType()),
+        T.StructField("extracted_at", T.TimestampType()),
+        T.StructField("_silver_updated_at", T.TimestampType()),
+    ]
+)
+
+BRONZE_SCHEMA = T.StructType(
+    [
+        T.StructField("product", T.StringType()),
+        T.StructField("date", T.StringType()),
+        T.StructField("org_name", T.StringType()),
+        T.StructField("metric_name", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("unit", T.StringType()),
+        T.StructField("extracted_at", T.TimestampType()),
+        T.StructField("_source_file", T.StringType()),
+        T.StructField("_ingested_at", T.TimestampType()),
+    ]
+)
+
 SILVER_KEY = ["product", "date", "org_name", "metric_name"]
 SILVER_PARTITIONS = ["product", "year", "month"]
 BRONZE_PARTITIONS = ["product", "date"]

@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.bronze import unify
-from ledgerline.schemas import BRONZE_PARTITIONS, LANDING_SCHEMA
+from ledgerline.schemas import BRONZE_PARTITIONS, BRONZE_SCHEMA, LANDING_SCHEMA
 from ledgerline.sources.landing import product_path, with_landing_columns
 
-BRONZE_SCHEMA = "product string, date string, org_name string, metric_name string, value double, unit string, extracted_at timestamp, _source_file string, _ingested_at timestamp"
 
 
 def landing_stream(
@@ -47,20 +46,23 @@ def ingest(
     product: str | None = None,
     max_files_per_trigger: int | None = 1000,
     timeout_s: float | None = None,
+    table: str | None = None,
 ) -> dict:
     """Append new landed files to the Bronze table at ``bronze_path`` and stop.
 
-    Returns the last progress report of the query (small metadata).
+    With ``table`` the sink is that catalog table (created by
+    :func:`ledgerline.sources.tables.create_bronze_table` or on first run)
+    instead of the bare path.  Returns the last progress report (metadata).
     """
-    query = (
+    writer = (
         bronze_stream(spark, landing_root, product, max_files_per_trigger)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint_path)
         .partitionBy(*BRONZE_PARTITIONS)
         .trigger(availableNow=True)
-        .start(bronze_path)
     )
+    query = writer.toTable(table) if table else writer.start(bronze_path)
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()

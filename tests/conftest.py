@@ -13,7 +13,13 @@ from ledgerline.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", shuffle_partitions=4, app_name="ledgerline-tests")
+    warehouse = tempfile.mkdtemp(prefix="ledgerline-warehouse-")
+    s = build_session(
+        master="local[4]",
+        shuffle_partitions=4,
+        app_name="ledgerline-tests",
+        extra={"spark.sql.warehouse.dir": warehouse},
+    )
     yield s
     s.stop()
 
