@@ -5,9 +5,10 @@ directory and reads it back: the plan after it starts from files (it survives
 lost executors and the optimizer sees the real size), and a result used more
 than once is computed once.
 
-``broadcast_if_small`` broadcasts only a side whose row count was measured and
-found under a bound; above it the join stays a shuffle join (AQE can still
-split skewed partitions).  The count reads a staged table, so it is cheap.
+``broadcast_if_small`` broadcasts only a side whose row count and stored size
+were measured and found under both bounds; above them the join stays a
+shuffle join (AQE can still split skewed partitions).  Both measurements read
+a staged table (Parquet footers and the file listing), so they are cheap.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_path
 
-# Rows we are willing to ship to every executor.  Kept well under the default
-# broadcast size limits for the narrow rows this library broadcasts
-# (group statistics, partition keys, batch keys).
-BROADCAST_MAX_ROWS = 2_000_000
+# What we are willing to ship to every executor: at most this many rows and
+# this many bytes of stored (compressed Parquet) data.
+BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -31,10 +32,18 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
+def stored_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of ``df``; for a staged table, its file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> tuple[DataFrame, int]:
     """Return (possibly broadcast-hinted df, measured row count).
 
     ``df`` should be staged (or otherwise cheap to count).
     """
     n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+    small = n <= max_rows and stored_bytes(df) <= max_bytes
+    return (F.broadcast(df) if small else df), n

@@ -6,10 +6,14 @@ Plan
 1. Deduplicate the source on the key (a MERGE with several source rows for
    one target row is ill-defined) and stage it (lineage cut; it is used three
    times below).
-2. Touched partitions = distinct partition values of the source.  Their
-   count is measured; under the bound they are broadcast into a left-semi
-   join with the target, which Spark turns into dynamic partition pruning:
-   only touched partition directories are read.
+2. Touched partitions = distinct partition values of the source, staged and
+   counted.  Up to ``LITERAL_PRUNE_MAX`` of them (partition keys, i.e. table
+   metadata of the same order as the directory listing the driver already
+   holds) become a literal predicate on the partition columns, which the file
+   index evaluates before any file is opened: only touched partition
+   directories are read.  Above the bound the target is semi-joined with the
+   (size-checked broadcast of the) touched partitions instead; still exact,
+   but it scans the whole target.
 3. Target rows of touched partitions without a matching source key
    (left-anti join on the key, ``=`` or null-safe ``<=>``) plus all source
    rows = the new content of the touched partitions.  The source side of the
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +41,9 @@ from ledgerline.operators.dedupe import DEFAULT_ORDER, dedupe_latest
 from ledgerline.operators.staging import broadcast_if_small, stage
 from ledgerline.schemas import SILVER_KEY, SILVER_PARTITIONS
 
+# Most touched partitions turned into a literal pruning predicate.
+LITERAL_PRUNE_MAX = 2_000
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a committed table (has a ``_SUCCESS`` marker or data)."""
@@ -87,13 +95,18 @@ def upsert(
     schema = src.schema  # target has the same layout; avoids partition-type inference
     target = read_table(spark, target_path, schema).select(*columns)
 
-    touched, n_touched = broadcast_if_small(src.select(*partitions).distinct())
-    # Null-safe on partition values too: a NULL partition is one directory.
-    in_touched = target.join(
-        touched.alias("_t"),
-        [target[p].eqNullSafe(F.col(f"_t.{p}")) for p in partitions],
-        "left_semi",
-    )
+    touched = stage(src.select(*partitions).distinct(), "upsert-partitions")
+    n_touched = touched.count()
+    if n_touched == 0:
+        return {"touched_partitions": 0, "source_rows": 0, "first_load": 0}
+    if n_touched <= LITERAL_PRUNE_MAX:
+        in_touched = target.filter(partition_predicate(touched.collect(), partitions))
+    else:
+        bc, _ = broadcast_if_small(touched)
+        # Null-safe on partition values too: a NULL partition is one directory.
+        in_touched = target.join(
+            bc.alias("_t"), [target[p].eqNullSafe(F.col(f"_t.{p}")) for p in partitions], "left_semi"
+        )
 
     src_keys, n_src = broadcast_if_small(src.select(*keys).distinct())
     src_keys = src_keys.alias("_s")
@@ -107,6 +120,14 @@ def upsert(
     return {"touched_partitions": n_touched, "source_rows": n_src, "first_load": 0}
 
 
+def partition_predicate(keys, partitions: Sequence[str]):
+    """OR of null-safe equalities, one conjunction per partition key tuple."""
+    terms = [
+        reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in partitions]) for row in keys
+    ]
+    return reduce(lambda a, b: a | b, terms)
+
+
 def upsert_table(spark: SparkSession, target_path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read the upserted table back."""
     return read_table(spark, target_path, schema)
