@@ -40,6 +40,10 @@ def unify(raw: DataFrame, source_file: Column | None = None) -> DataFrame:
     if source_file is None:
         source_file = F.col("_source_file") if "_source_file" in raw.columns else F.lit(None).cast("string")
     value = F.coalesce(F.col("value"), F.col("cost_usd"))
+    # Text timestamps (ISO, as extractors write them) parse leniently: bad text
+    # becomes NULL instead of failing the job.
+    ts_type = dict(raw.dtypes).get("extracted_at")
+    extracted = F.try_to_timestamp(F.col("extracted_at")) if ts_type == "string" else F.col("extracted_at").cast("timestamp")
     return raw.select(
         F.col("product"),
         F.coalesce(F.col("date"), F.col("month")).alias("date"),
@@ -47,7 +51,7 @@ def unify(raw: DataFrame, source_file: Column | None = None) -> DataFrame:
         F.coalesce(F.col("metric_name"), F.col("product_name")).alias("metric_name"),
         value.alias("value"),
         F.col("unit"),
-        F.col("extracted_at").cast("timestamp").alias("extracted_at"),
+        extracted.alias("extracted_at"),
         source_file.alias("_source_file"),
         F.current_timestamp().alias("_ingested_at"),
     ).filter(F.col("value").isNotNull() & (F.col("value") > 0))

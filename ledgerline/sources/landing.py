@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.schemas import COST_PRODUCT, LANDING_SCHEMA
 
@@ -63,21 +64,55 @@ def product_path(root: str, product: str | None) -> str:
     return root if product in (None, "all") else f"{root}/product={product}"
 
 
-def read_landing(spark: SparkSession, root: str, product: str | None = None) -> DataFrame:
+NANOS_CONF = "spark.sql.legacy.parquet.nanosAsLong"
+
+
+def _nanos_schema() -> T.StructType:
+    return T.StructType(
+        [T.StructField(f.name, T.LongType()) if f.name == "extracted_at" else f for f in LANDING_SCHEMA.fields]
+    )
+
+
+def read_landing(
+    spark: SparkSession, root: str, product: str | None = None, nanos: bool = False
+) -> DataFrame:
     """Read the landing tree (both record kinds) with the superset schema.
 
     Adds ``_source_file``; fills ``product`` from the path and ``month`` from
     ``cost_month``.  ``product`` scopes the scan to one product directory.
+
+    ``nanos=True`` reads files whose ``extracted_at`` is a nanosecond Parquet
+    timestamp (what pandas writes by default), which Spark cannot read as a
+    timestamp: the column is read as a long and converted to microseconds.
     """
+    schema = _nanos_schema() if nanos else LANDING_SCHEMA
+    if nanos:
+        spark.conf.set(NANOS_CONF, "true")
     raw = (
-        spark.read.schema(LANDING_SCHEMA)
+        spark.read.schema(schema)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .parquet(product_path(root, product))
     )
+    if nanos:
+        raw = raw.withColumn("extracted_at", F.timestamp_micros(F.floor(F.col("extracted_at") / 1000)))
     return with_landing_columns(raw)
 
 
+def migrate_landing(spark: SparkSession, src_root: str, dst_root: str, nanos: bool = True) -> None:
+    """Rewrite a landing tree written elsewhere into this library's layout.
+
+    Usage files keep their day partitions; cost files get ``cost_month``.
+    Timestamps become microseconds.  One distributed job per record kind.
+    """
+    landed = read_landing(spark, src_root, nanos=nanos)
+    is_cost = F.col("cost_usd").isNotNull() & F.col("date").isNull()
+    usage = landed.filter(~is_cost).select("product", "date", "org_name", "metric_name", "value", "unit", "extracted_at")
+    cost = landed.filter(is_cost).select("product_name", "charge_type", "cost_usd", "month", "org_name", "extracted_at")
+    write_usage(usage, dst_root)
+    write_cost(cost, dst_root)
+
+
 def with_landing_columns(raw: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     return raw.withColumns(
@@ -118,6 +153,11 @@ def file_audit(spark: SparkSession, root: str, product: str | None = None) -> Da
     return files
 
 
+def file_row_counts(landed: DataFrame) -> DataFrame:
+    """Rows per landed file (what the source system kept as object metadata)."""
+    return landed.groupBy("product", "_source_file").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def load_summary(landed: DataFrame) -> DataFrame:
     """Per product: number of landed files and rows (from ``_source_file``)."""
     return landed.groupBy("product").agg(

@@ -85,6 +85,8 @@ def test_load_summary_and_dry_run(spark, tmp_dir):
     landing.write_usage(u, root)
     s = landing.load_summary(landing.read_landing(spark, root)).collect()
     assert [(r.product, r.files, r.rows) for r in s] == [("logs", 2, 3)]
+    per_file = sorted(r.rows for r in landing.file_row_counts(landing.read_landing(spark, root)).collect())
+    assert per_file == [1, 2]
 
 
 def test_batch_periods(spark):
@@ -106,3 +108,35 @@ def test_product_scope_all(spark):
     u = usage_df(spark, [("logs", "2024-01-01", "a", "m", 1.0, "bytes"), ("apm", "2024-01-01", "a", "m", 1.0, "spans")])
     assert product_scope(u, "all").count() == 2
     assert product_scope(u, "apm").count() == 1
+
+
+def test_foreign_nanosecond_landing_files(spark, tmp_dir):
+    import pandas as pd
+
+    root = f"{tmp_dir}/raw"
+    cdir = f"{root}/product=estimated_cost/year=2024/month=01"
+    udir = f"{root}/product=apm/year=2024/month=01/day=15"
+    os.makedirs(cdir)
+    os.makedirs(udir)
+    c = pd.DataFrame([dict(product_name="apm", charge_type="committed", cost_usd=12.5, month="2024-01",
+                           org_name="acme", extracted_at=pd.Timestamp("2024-01-15T06:00:00.123456"))])
+    u = pd.DataFrame([dict(product="apm", date="2024-01-15", org_name="acme", metric_name="apm_hosts", value=3.0,
+                           unit="hosts", extracted_at=pd.Timestamp("2024-01-15T06:00:00.5"))])
+    c.to_parquet(f"{cdir}/cost_202401_x.parquet", index=False)
+    u.to_parquet(f"{udir}/usage_x.parquet", index=False)
+    got = {r.product: r for r in unify(landing.read_landing(spark, root, nanos=True)).collect()}
+    assert got["estimated_cost"].date == "2024-01" and got["estimated_cost"].value == 12.5
+    assert got["apm"].extracted_at.microsecond == 500000
+    dst = f"{tmp_dir}/native"
+    landing.migrate_landing(spark, root, dst)
+    again = {r.product: r for r in unify(landing.read_landing(spark, dst)).collect()}
+    assert {k: (v.date, v.value) for k, v in again.items()} == {k: (v.date, v.value) for k, v in got.items()}
+
+
+def test_text_extracted_at(spark):
+    df = spark.createDataFrame(
+        [("apm", "2024-01-15", "o", "m", 1.0, "spans", "2024-01-15T06:00:00"), ("apm", "2024-01-15", "o", "m", 2.0, "spans", "bad")],
+        "product string, date string, org_name string, metric_name string, value double, unit string, extracted_at string",
+    )
+    got = sorted((r.value, r.extracted_at is None) for r in unify(df).collect())
+    assert got == [(1.0, False), (2.0, True)]
