@@ -16,14 +16,16 @@ from pyspark.sql import SparkSession
 
 # Settings that matter at scale.  AQE re-plans joins from measured sizes,
 # coalesces tiny shuffle partitions and splits skewed ones; the rebalance hint
-# used by the writers relies on it too.
+# used by the writers relies on it too.  Timestamps are UTC wall-clock values
+# (extractors write naive UTC), and Parquet timestamps are written as
+# microseconds so other engines read them.  Dynamic partition overwrite is set
+# per write by the upsert, never session-wide.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 

@@ -171,5 +171,5 @@ def dry_run_counts(records: DataFrame) -> DataFrame:
 
 
 def batch_periods(bronze: DataFrame) -> DataFrame:
-    """Distinct (product, period) a batch covers: days for usage, months for cost."""
-    return bronze.select("product", F.col("date").alias("period")).distinct()
+    """Distinct (product, period) a batch covers, sorted: days for usage, months for cost."""
+    return bronze.select("product", F.col("date").alias("period")).distinct().orderBy("product", "period")

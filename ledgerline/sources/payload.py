@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.schemas import (
     COST_PAYLOAD_SCHEMA,
@@ -118,33 +119,62 @@ def flatten_cost(payloads: DataFrame, extracted_at: Column | None = None) -> Dat
 # ---------------------------------------------------------------------------
 
 
-def read_usage_payloads(spark: SparkSession, path: str, feed: str) -> DataFrame:
-    """Read landed usage documents with the feed's schema plus the request day."""
+CORRUPT = "_corrupt_record"
+
+
+def _read_json(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool) -> DataFrame:
+    if keep_corrupt:
+        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     return (
-        spark.read.schema(usage_payload_schema(feed))
+        spark.read.schema(schema)
         .option("recursiveFileLookup", "true")
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
-        .select(
-            "usage",
-            F.nullif(
-                F.regexp_extract(F.col("_metadata.file_path"), REQUEST_DAY_PATTERN, 1), F.lit("")
-            ).alias("request_day"),
-            F.col("_metadata.file_modification_time").alias("extracted_at"),
-        )
     )
 
 
-def read_cost_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema(COST_PAYLOAD_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .option("mode", "PERMISSIVE")
-        .json(path)
-        .select("data", F.col("_metadata.file_modification_time").alias("extracted_at"))
+def read_usage_payloads(spark: SparkSession, path: str, feed: str, keep_corrupt: bool = False) -> DataFrame:
+    """Read landed usage documents with the feed's schema plus the request day.
+
+    Malformed lines never fail the read (PERMISSIVE); with ``keep_corrupt``
+    their text is kept in ``_corrupt_record`` so :func:`corrupt_documents`
+    can route them aside.
+    """
+    docs = _read_json(spark, path, usage_payload_schema(feed), keep_corrupt)
+    return docs.select(
+        "usage",
+        F.nullif(F.regexp_extract(F.col("_metadata.file_path"), REQUEST_DAY_PATTERN, 1), F.lit("")).alias(
+            "request_day"
+        ),
+        F.col("_metadata.file_modification_time").alias("extracted_at"),
+        F.col("_metadata.file_path").alias("_source_file"),
+        *([CORRUPT] if keep_corrupt else []),
+    )
+
+
+def read_cost_payloads(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+    docs = _read_json(spark, path, COST_PAYLOAD_SCHEMA, keep_corrupt)
+    return docs.select(
+        "data",
+        F.col("_metadata.file_modification_time").alias("extracted_at"),
+        F.col("_metadata.file_path").alias("_source_file"),
+        *([CORRUPT] if keep_corrupt else []),
     )
 
 
+def corrupt_documents(docs: DataFrame) -> DataFrame:
+    """Lines of landed documents that did not parse (source file and text).
+
+    A malformed line has every parsed field NULL, so also testing the payload
+    column changes nothing -- but it keeps a parsed column in the scan, which
+    Spark requires when the corrupt-record column is read.
+    """
+    payload_col = docs.columns[0]
+    bad = F.col(CORRUPT).isNotNull() & F.col(payload_col).isNull()
+    return docs.filter(bad).select("_source_file", CORRUPT)
+
+
 def usage_payloads_from_records(usage: DataFrame, feed: str) -> DataFrame:
     """Rebuild hourly response documents from usage records (inverse of flattening).
 

@@ -136,3 +136,18 @@ def test_landed_roundtrip(spark, tmp_dir, feed):
         for r in recs.filter(F.col("product") == feed).collect()
     )
     assert got == want
+
+
+def test_corrupt_documents_routed(spark, tmp_dir):
+    path = f"{tmp_dir}/docs/request_day=2024-01-15"
+    import os
+
+    os.makedirs(path)
+    with open(f"{path}/part-0.json", "w") as f:
+        f.write(json.dumps({"usage": [{"hour": "2024-01-15T01", "org_name": "a", "aws_host_count": 2}]}) + "\n")
+        f.write("{not json\n")
+    docs = payload.read_usage_payloads(spark, f"{tmp_dir}/docs", "infrastructure", keep_corrupt=True)
+    bad = payload.corrupt_documents(docs).collect()
+    assert [r._corrupt_record for r in bad] == ["{not json"]
+    good = payload.flatten_usage(docs, "infrastructure").collect()
+    assert [(r.date, r.metric_name, r.value) for r in good] == [("2024-01-15", "aws_hosts", 2.0)]
