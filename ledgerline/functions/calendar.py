@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 DAY_FORMAT = "yyyy-MM-dd"
 MONTH_FORMAT = "yyyy-MM"
+DAY_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+MONTH_PATTERN = r"^\d{4}-\d{2}$"
+
+# Weekday names, English, indexed by dayofweek() (1 = Sunday).
+WEEKDAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
 
 def parse_day(text: Column, month_grain: str = "first_day") -> Column:
@@ -17,16 +22,16 @@ def parse_day(text: Column, month_grain: str = "first_day") -> Column:
     reaches Silver and Gold; ``"drop"`` leaves it NULL (and the Silver filter
     then drops it), which is what a strict day parse does.
     """
-    # The parser is strict: only a 10-character text can match yyyy-MM-dd and
-    # only a 7-character one yyyy-MM.  Guarding on length skips a failing parse
-    # (an exception per row inside the JVM) without changing any result.
-    n = F.length(text)
-    day = F.when(n == 10, F.try_to_date(text, DAY_FORMAT))
+    # Same accepted set as a strict ``yyyy-MM-dd`` / ``yyyy-MM`` formatter
+    # parse, but the shape is checked first and the text then goes through
+    # the built-in string->date cast (no formatter, no exception per failing
+    # row); an impossible day such as 2024-02-30 still yields NULL.
+    day = F.when(text.rlike(DAY_PATTERN), text.try_cast("date"))
     if month_grain == "drop":
         return day
     if month_grain != "first_day":
         raise ValueError(f"month_grain must be 'first_day' or 'drop', got {month_grain!r}")
-    return F.coalesce(day, F.when(n == 7, F.try_to_date(text, MONTH_FORMAT)))
+    return F.coalesce(day, F.when(text.rlike(MONTH_PATTERN), text.try_cast("date")))
 
 
 def calendar_columns(day: Column) -> dict[str, Column]:
@@ -35,7 +40,8 @@ def calendar_columns(day: Column) -> dict[str, Column]:
         "year": F.year(day),
         "month": F.month(day),
         "week_of_year": F.weekofyear(day),
-        "day_of_week": F.date_format(day, "EEEE"),
+        # same names as date_format(day, 'EEEE'), without a formatter per row
+        "day_of_week": F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(day)),
     }
 
 

@@ -166,3 +166,21 @@ def test_layer_counts(spark):
     s = usage_group(spark, [1.0, 2.0, 3.0])
     got = {r.layer: r.n for r in profile.layer_counts({"silver": s, "daily": gold.daily_summary(s)}).collect()}
     assert got == {"silver": 3, "daily": 3}
+
+
+def test_parse_day_matches_strict_formatter(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions.calendar import calendar_columns, parse_day
+
+    texts = ["2024-01-05", "2024-02-30", "2024-1-05", "2024-01", "2024-13", "2024", " 2024-01-05", "2024-01-05 ",
+             "12024-01-05", "2024-01-05T00", "x", "", None, "2023-12", "2024-02-29", "2023-02-29"]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    ref = F.coalesce(F.try_to_date("d", "yyyy-MM-dd"), F.try_to_date("d", "yyyy-MM"))
+    got = parse_day(F.col("d"))
+    bad = df.filter(~got.eqNullSafe(ref)).count()
+    assert bad == 0
+    days = df.select(got.alias("x")).filter("x is not null")
+    cal = calendar_columns(F.col("x"))
+    mism = days.filter(~cal["day_of_week"].eqNullSafe(F.date_format("x", "EEEE"))).count()
+    assert mism == 0
