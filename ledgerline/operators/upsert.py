@@ -29,7 +29,6 @@ same source is idempotent for non-NULL keys.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from functools import reduce
 
@@ -128,19 +127,3 @@ def partition_predicate(keys, partitions: Sequence[str]):
     return reduce(lambda a, b: a | b, terms)
 
 
-def upsert_table(spark: SparkSession, target_path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read the upserted table back."""
-    return read_table(spark, target_path, schema)
-
-
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def partition_dirs(path: str) -> list[str]:
-    """Leaf partition directories of a local table (test helper)."""
-    out = []
-    for root, _dirs, files in os.walk(_local(path)):
-        if any(f.endswith(".parquet") for f in files):
-            out.append(os.path.relpath(root, _local(path)))
-    return sorted(out)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import types as T
 
@@ -37,3 +38,12 @@ SILVER_IN = T.StructType(
 def bronze_df(spark, rows):
     full = [tuple(r) + ((TS,) if len(r) == 6 else ()) for r in rows]
     return spark.createDataFrame(full, SILVER_IN)
+
+
+def partition_dirs(path: str) -> list[str]:
+    """Leaf partition directories of a local table."""
+    out = []
+    for root, _dirs, files in os.walk(path):
+        if any(f.endswith(".parquet") for f in files):
+            out.append(os.path.relpath(root, path))
+    return sorted(out)

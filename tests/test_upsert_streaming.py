@@ -8,11 +8,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import bronze_df, cost_df, usage_df
+from helpers import bronze_df, cost_df, partition_dirs, usage_df
 from ledgerline.operators.bronze import superset, unify
 from ledgerline.operators.dedupe import dedupe_latest
 from ledgerline.operators.silver import transform
-from ledgerline.operators.upsert import partition_dirs, read_table, upsert
+from ledgerline.operators.upsert import read_table, upsert
 from ledgerline.schemas import SILVER_KEY
 from ledgerline.sources import landing
 from ledgerline.streaming.bronze_stream import ingest, read_bronze
