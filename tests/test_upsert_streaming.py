@@ -165,5 +165,5 @@ def test_silver_stream_upsert(spark, tmp_dir):
     upsert_stream(spark, bronze, silver_path, f"{tmp_dir}/c2", timeout_s=120)
     schema = transform(read_bronze(spark, bronze)).schema
     got = sorted((str(r.date), r.value) for r in read_table(spark, silver_path, schema).collect())
-    # both rows of 2024-01-15 share extracted_at; the larger value wins the tie
+    # the later micro-batch replaces the matched row (MERGE semantics); new day inserted
     assert got == [("2024-01-15", 5.0), ("2024-01-16", 2.0)]
