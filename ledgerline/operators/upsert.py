@@ -39,17 +39,15 @@ from pyspark.sql import types as T
 from ledgerline.operators.dedupe import DEFAULT_ORDER, dedupe_latest
 from ledgerline.operators.staging import broadcast_if_small, stage
 from ledgerline.schemas import SILVER_KEY, SILVER_PARTITIONS
+from ledgerline.session import path_exists
 
 # Most touched partitions turned into a literal pruning predicate.
 LITERAL_PRUNE_MAX = 2_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed table (has a ``_SUCCESS`` marker or data)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath)) and len(fs.listStatus(jpath)) > 0
+    """True when ``path`` holds a table (a non-empty folder)."""
+    return path_exists(spark, path)
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], mode: str) -> None:

@@ -22,6 +22,7 @@ from ledgerline.operators.selectors import date_window, month_window
 from ledgerline.operators.silver import transform
 from ledgerline.operators.upsert import read_table, upsert
 from ledgerline.plans import dashboards as dash
+from ledgerline.plans.extract import run_extract
 from ledgerline.schemas import SILVER_KEY
 from ledgerline.session import apply_scale_conf, scratch_path
 from ledgerline.sources import landing, payload
@@ -42,6 +43,10 @@ WINDOW_END = "2024-01-20"
 WINDOW_DAYS = 10
 MONTHS = ("1996-01", "1996-12")
 SCOPED_PRODUCT = "estimated_cost"
+# The usage events cover January 2024 and the orders 1995-2001, so the usage
+# extraction and the (cost-bearing) dry run use different "today"s.
+EXTRACT_END, EXTRACT_DAYS = "2024-01-20", 10
+DRY_RUN_END, DRY_RUN_DAYS = "1996-06-30", 180
 UPSERT_SPLIT_HOUR = 12  # target = morning extraction, source = afternoon re-extraction
 
 
@@ -171,6 +176,26 @@ def _usage_payload_query(feed: str):
     return run
 
 
+def _land_documents(spark, d) -> str:
+    """API documents of every feed, rebuilt from the records and landed."""
+    root = scratch_path(spark, "documents")
+    usage = usage_from(spark, d)
+    for feed in ("infrastructure", "apm", "logs"):
+        payload.land_usage_payloads(payload.usage_payloads_from_records(usage, feed), f"{root}/{feed}")
+    payload.land_cost_payloads(payload.cost_payloads_from_records(cost_from(spark, d)), f"{root}/estimated_cost")
+    return root
+
+
+def extract_load(spark, d):
+    docs = _land_documents(spark, d)
+    return run_extract(spark, docs, scratch_path(spark, "landing"), EXTRACT_END, EXTRACT_DAYS)
+
+
+def extract_dry_run(spark, d):
+    docs = _land_documents(spark, d)
+    return run_extract(spark, docs, scratch_path(spark, "landing"), DRY_RUN_END, DRY_RUN_DAYS, dry_run=True)
+
+
 def payload_cost_flatten(spark, d):
     path = scratch_path(spark, "payload-cost")
     payload.land_cost_payloads(payload.cost_payloads_from_records(cost_from(spark, d)), path)
@@ -286,6 +311,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payload_apm_flatten": _usage_payload_query("apm"),
     "payload_logs_flatten": _usage_payload_query("logs"),
     "payload_cost_flatten": payload_cost_flatten,
+    "extract_load": extract_load,
+    "extract_dry_run": extract_dry_run,
     "silver_transform": silver_transform,
     "silver_dedupe_latest": silver_dedupe_latest,
     "silver_upsert": silver_upsert,

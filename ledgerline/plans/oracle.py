@@ -197,6 +197,20 @@ GROUP BY product, date, hour(extracted_at), org_name, metric_name, unit
 HAVING max(value) > 0"""
 
 
+FLAT_USAGE = """
+fu AS (
+    SELECT product, date, org_name, metric_name, max(value) AS value
+    FROM u GROUP BY product, date, hour(extracted_at), org_name, metric_name
+    HAVING max(value) > 0
+)"""
+
+FLAT_COST = """
+fc AS (
+    SELECT month, round(round(sum(cost_usd), 2), 4) AS cost_usd
+    FROM c GROUP BY month, org_name, product_name, charge_type
+    HAVING round(sum(cost_usd), 2) > 0
+)"""
+
 ORACLE: dict[str, str] = {
     "bronze_unify": f"WITH {U},{C},{B} SELECT product, date, org_name, metric_name, value, unit FROM b",
     "bronze_product_scope": f"WITH {U},{C},{B} SELECT product, date, org_name, metric_name, value, unit FROM b WHERE product = 'estimated_cost'",
@@ -237,6 +251,15 @@ FROM c GROUP BY ALL""",
 SELECT product_name, charge_type, round(round(sum(cost_usd), 2), 4) AS cost_usd, month, org_name
 FROM c GROUP BY month, org_name, product_name, charge_type
 HAVING round(sum(cost_usd), 2) > 0""",
+    "extract_load": f"""WITH {U},{FLAT_USAGE}
+SELECT product, count(DISTINCT date) AS periods, count(*) AS "rows"
+FROM fu WHERE date BETWEEN '2024-01-10' AND '2024-01-20' GROUP BY product""",
+    "extract_dry_run": f"""WITH {U},{C},{FLAT_USAGE},{FLAT_COST}
+SELECT product, count(*) AS n FROM (
+    SELECT product FROM fu WHERE date BETWEEN '1996-01-02' AND '1996-06-30'
+    UNION ALL
+    SELECT 'estimated_cost' FROM fc WHERE month BETWEEN '1996-01' AND '1996-06'
+) GROUP BY product""",
     "silver_transform": f"{BASE} SELECT {SILVER_COLS} FROM s",
     "silver_dedupe_latest": f"{BASE} SELECT {SILVER_COLS} FROM s {LATEST}",
     "silver_upsert": f"""WITH {U},

@@ -24,8 +24,6 @@ from ledgerline.schemas import (
     usage_payload_schema,
 )
 
-REQUEST_DAY_PATTERN = r"request_day=(\d{4}-\d{2}-\d{2})"
-
 
 def _lookup(col: Column, pairs: list[tuple[str, str]]) -> Column:
     expr = None
@@ -122,31 +120,45 @@ def flatten_cost(payloads: DataFrame, extracted_at: Column | None = None) -> Dat
 CORRUPT = "_corrupt_record"
 
 
-def _read_json(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool) -> DataFrame:
+def _with_corrupt(schema: T.StructType, keep_corrupt: bool) -> T.StructType:
     if keep_corrupt:
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+        return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    return schema
+
+
+def _json_reader(spark: SparkSession, schema: T.StructType):
     return (
         spark.read.schema(schema)
-        .option("recursiveFileLookup", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
     )
 
 
-def read_usage_payloads(spark: SparkSession, path: str, feed: str, keep_corrupt: bool = False) -> DataFrame:
-    """Read landed usage documents with the feed's schema plus the request day.
+def read_usage_payloads(
+    spark: SparkSession,
+    path: str,
+    feed: str,
+    keep_corrupt: bool = False,
+    request_days: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Read landed usage documents of one feed, with the day they were requested for.
 
+    Documents live under ``<path>/request_day=YYYY-MM-DD/``; the request day is
+    a partition column typed as text by the schema, so ``request_days`` (an
+    inclusive window) prunes whole directories before any file is opened.
     Malformed lines never fail the read (PERMISSIVE); with ``keep_corrupt``
-    their text is kept in ``_corrupt_record`` so :func:`corrupt_documents`
-    can route them aside.
+    their text is kept in ``_corrupt_record`` for :func:`corrupt_documents`.
     """
-    docs = _read_json(spark, path, usage_payload_schema(feed), keep_corrupt)
+    schema = _with_corrupt(
+        T.StructType(usage_payload_schema(feed).fields + [T.StructField("request_day", T.StringType())]),
+        keep_corrupt,
+    )
+    docs = _json_reader(spark, schema).json(path)
+    if request_days is not None:
+        docs = docs.filter(F.col("request_day").between(*request_days))
     return docs.select(
         "usage",
-        F.nullif(F.regexp_extract(F.col("_metadata.file_path"), REQUEST_DAY_PATTERN, 1), F.lit("")).alias(
-            "request_day"
-        ),
+        "request_day",
         F.col("_metadata.file_modification_time").alias("extracted_at"),
         F.col("_metadata.file_path").alias("_source_file"),
         *([CORRUPT] if keep_corrupt else []),
@@ -154,7 +166,12 @@ def read_usage_payloads(spark: SparkSession, path: str, feed: str, keep_corrupt:
 
 
 def read_cost_payloads(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
-    docs = _read_json(spark, path, COST_PAYLOAD_SCHEMA, keep_corrupt)
+    """Read landed cost documents (any folder layout below ``path``)."""
+    docs = (
+        _json_reader(spark, _with_corrupt(COST_PAYLOAD_SCHEMA, keep_corrupt))
+        .option("recursiveFileLookup", "true")
+        .json(path)
+    )
     return docs.select(
         "data",
         F.col("_metadata.file_modification_time").alias("extracted_at"),
