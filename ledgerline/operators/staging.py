@@ -32,9 +32,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stored_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of ``df``; for a staged table, its file sizes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def stored_bytes(df: DataFrame) -> int | None:
+    """Spark's size estimate of ``df`` (for a staged table, its file sizes).
+
+    None when the plan statistics are not reachable (Spark Connect client).
+    """
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
 
 
 def broadcast_if_small(
@@ -45,5 +51,7 @@ def broadcast_if_small(
     ``df`` should be staged (or otherwise cheap to count).
     """
     n = df.count()
-    small = n <= max_rows and stored_bytes(df) <= max_bytes
+    size = stored_bytes(df) if n <= max_rows else None
+    # Without a size measurement, only a tenth of the row bound is trusted.
+    small = n <= max_rows and (size <= max_bytes if size is not None else n <= max_rows // 10)
     return (F.broadcast(df) if small else df), n

@@ -60,9 +60,20 @@ def apply_scale_conf(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if none is named."""
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -89,7 +100,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists and is not an empty folder (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sc = _context(spark)
+    if sc is None:  # Connect: ask a file listing instead of the JVM
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            return not files.select("path").isEmpty()
+        except Exception:  # noqa: BLE001 - missing path
+            return False
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath)) and len(fs.listStatus(jpath)) > 0
