@@ -6,14 +6,14 @@ Plan
 1. Deduplicate the source on the key (a MERGE with several source rows for
    one target row is ill-defined) and stage it (lineage cut; it is used three
    times below).
-2. Touched partitions = distinct partition values of the source, staged and
-   counted.  Up to ``LITERAL_PRUNE_MAX`` of them (partition keys, i.e. table
+2. Touched partitions = distinct partition values of the source.  At most
+   ``LITERAL_PRUNE_MAX + 1`` of them are fetched (partition keys, i.e. table
    metadata of the same order as the directory listing the driver already
-   holds) become a literal predicate on the partition columns, which the file
-   index evaluates before any file is opened: only touched partition
-   directories are read.  Above the bound the target is semi-joined with the
-   (size-checked broadcast of the) touched partitions instead; still exact,
-   but it scans the whole target.
+   holds); up to the bound they become a literal predicate on the partition
+   columns, which the file index evaluates before any file is opened: only
+   touched partition directories are read.  Above the bound the target is
+   semi-joined with the (size-checked broadcast of the) staged touched
+   partitions instead; still exact, but it scans the whole target.
 3. Target rows of touched partitions without a matching source key
    (left-anti join on the key, ``=`` or null-safe ``<=>``) plus all source
    rows = the new content of the touched partitions.  The source side of the
@@ -92,20 +92,22 @@ def upsert(
     schema = src.schema  # target has the same layout; avoids partition-type inference
     target = read_table(spark, target_path, schema).select(*columns)
 
-    touched = stage(src.select(*partitions).distinct(), "upsert-partitions")
-    n_touched = touched.count()
-    if n_touched == 0:
+    touched = src.select(*partitions).distinct()
+    # At most LITERAL_PRUNE_MAX + 1 partition keys reach the driver.
+    keys_seen = touched.limit(LITERAL_PRUNE_MAX + 1).collect()
+    if not keys_seen:
         return {"touched_partitions": 0, "source_rows": 0, "first_load": 0}
-    if n_touched <= LITERAL_PRUNE_MAX:
-        in_touched = target.filter(partition_predicate(touched.collect(), partitions))
+    if len(keys_seen) <= LITERAL_PRUNE_MAX:
+        n_touched = len(keys_seen)
+        in_touched = target.filter(partition_predicate(keys_seen, partitions))
     else:
-        bc, _ = broadcast_if_small(touched)
+        bc, n_touched = broadcast_if_small(stage(touched, "upsert-partitions"))
         # Null-safe on partition values too: a NULL partition is one directory.
         in_touched = target.join(
             bc.alias("_t"), [target[p].eqNullSafe(F.col(f"_t.{p}")) for p in partitions], "left_semi"
         )
 
-    src_keys, n_src = broadcast_if_small(src.select(*keys).distinct())
+    src_keys, n_src = broadcast_if_small(src.select(*keys))
     src_keys = src_keys.alias("_s")
     match = [
         (in_touched[k].eqNullSafe(F.col(f"_s.{k}")) if null_safe else in_touched[k] == F.col(f"_s.{k}"))

@@ -94,6 +94,21 @@ def test_upsert_matched_unmatched_and_partitions(spark, tmp_dir):
     assert len(snapshot(spark, path, target.schema)) == 4
 
 
+def test_upsert_many_partitions_path(spark, tmp_dir, monkeypatch):
+    import ledgerline.operators.upsert as up
+
+    monkeypatch.setattr(up, "LITERAL_PRUNE_MAX", 0)  # force the semi-join path
+    path = f"{tmp_dir}/silver"
+    target = silver(spark, [("apm", "2024-01-15", "o", "m", 1.0, "spans", T0), ("logs", "2024-02-01", "o", "m", 3.0, "bytes", T0)])
+    up.upsert(target, path)
+    info = up.upsert(silver(spark, [("apm", "2024-01-15", "o", "m", 9.0, "spans", T1)]), path)
+    assert info["touched_partitions"] == 1
+    assert snapshot(spark, path, target.schema) == [
+        ("apm", "2024-01-15", "o", "m", 9.0),
+        ("logs", "2024-02-01", "o", "m", 3.0),
+    ]
+
+
 def test_upsert_null_keys(spark, tmp_dir):
     rows_t = [("apm", "2024-01-15", None, "m", 1.0, "spans", T0)]
     rows_s = [("apm", "2024-01-15", None, "m", 2.0, "spans", T1)]
