@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import anomalies as anom
 from ledgerline.operators import gold
 from ledgerline.operators.upsert import read_table
-from ledgerline.schemas import SILVER_SCHEMA
+from ledgerline.schemas import SILVER_PARTITIONS, SILVER_SCHEMA
 from ledgerline.session import apply_scale_conf
 from ledgerline.streaming.bronze_stream import ingest
 from ledgerline.streaming.silver_stream import upsert_stream
@@ -66,8 +66,16 @@ def run_bronze(spark: SparkSession, paths: LakePaths, product: str | None = None
     return ingest(spark, paths.landing, paths.bronze, paths.checkpoint("bronze"), product=product)
 
 
-def run_silver(spark: SparkSession, paths: LakePaths, month_grain: str = "first_day", null_safe: bool = False) -> None:
-    upsert_stream(spark, paths.bronze, paths.silver, paths.checkpoint("silver"), month_grain, null_safe)
+def run_silver(
+    spark: SparkSession,
+    paths: LakePaths,
+    month_grain: str = "first_day",
+    null_safe: bool = False,
+    partitions: tuple[str, ...] = SILVER_PARTITIONS,
+) -> None:
+    upsert_stream(
+        spark, paths.bronze, paths.silver, paths.checkpoint("silver"), month_grain, null_safe, partitions=partitions
+    )
 
 
 def read_silver(spark: SparkSession, paths: LakePaths) -> DataFrame:
@@ -100,11 +108,17 @@ def read_gold(spark: SparkSession, paths: LakePaths, name: str) -> DataFrame:
     return spark.read.parquet(paths.gold(name))
 
 
-def run_all(spark: SparkSession, root: str, landing: str | None = None, product: str | None = None) -> dict:
+def run_all(
+    spark: SparkSession,
+    root: str,
+    landing: str | None = None,
+    product: str | None = None,
+    silver_partitions: tuple[str, ...] = tuple(SILVER_PARTITIONS),
+) -> dict:
     apply_scale_conf(spark)
     paths = lake_paths(root, landing)
     run_bronze(spark, paths, product)
-    run_silver(spark, paths)
+    run_silver(spark, paths, partitions=silver_partitions)
     return {"gold_rows": run_gold(spark, paths), "root": paths.root}
 
 

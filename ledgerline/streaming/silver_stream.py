@@ -8,10 +8,13 @@ non-NULL keys), so the sink is effectively exactly-once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.silver import transform
 from ledgerline.operators.upsert import upsert
+from ledgerline.schemas import SILVER_PARTITIONS
 from ledgerline.streaming.bronze_stream import BRONZE_SCHEMA
 
 
@@ -24,14 +27,21 @@ def upsert_stream(
     null_safe: bool = False,
     max_files_per_trigger: int | None = 1000,
     timeout_s: float | None = None,
+    partitions: Sequence[str] = SILVER_PARTITIONS,
 ) -> None:
+    """Merge new Bronze rows into the Silver table at ``silver_path``.
+
+    ``partitions`` is the Silver layout; each micro-batch rewrites only the
+    partitions it touches, so a finer layout (e.g. adding ``date``) bounds the
+    rewrite of a daily increment to the touched days instead of whole months.
+    """
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     bronze = reader.parquet(bronze_path)
 
     def merge_batch(batch: DataFrame, _epoch: int) -> None:
-        upsert(transform(batch, month_grain), silver_path, null_safe=null_safe)
+        upsert(transform(batch, month_grain), silver_path, partitions=partitions, null_safe=null_safe)
 
     query = (
         bronze.writeStream.foreachBatch(merge_batch)

@@ -182,3 +182,21 @@ def test_silver_stream_upsert(spark, tmp_dir):
     got = sorted((str(r.date), r.value) for r in read_table(spark, silver_path, schema).collect())
     # the later micro-batch replaces the matched row (MERGE semantics); new day inserted
     assert got == [("2024-01-15", 5.0), ("2024-01-16", 2.0)]
+
+
+def test_silver_stream_day_partitions(spark, tmp_dir):
+    root, bronze, silver_path = f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/silver"
+    parts = ("product", "year", "month", "date")
+    land(spark, root, [("apm", "2024-01-15", "a", "indexed_spans", 1.0, "spans"), ("apm", "2024-01-16", "a", "indexed_spans", 2.0, "spans")])
+    ingest(spark, root, bronze, f"{tmp_dir}/c1", timeout_s=120)
+    upsert_stream(spark, bronze, silver_path, f"{tmp_dir}/c2", timeout_s=120, partitions=parts)
+    day16 = [d for d in partition_dirs(silver_path) if d.endswith("date=2024-01-16")][0]
+    f16 = [os.path.join(silver_path, day16, f) for f in os.listdir(os.path.join(silver_path, day16)) if f.endswith(".parquet")][0]
+    before = os.stat(f16).st_mtime_ns
+    land(spark, root, [("apm", "2024-01-15", "a", "indexed_spans", 5.0, "spans")])
+    ingest(spark, root, bronze, f"{tmp_dir}/c1", timeout_s=120)
+    upsert_stream(spark, bronze, silver_path, f"{tmp_dir}/c2", timeout_s=120, partitions=parts)
+    schema = transform(read_bronze(spark, bronze)).schema
+    got = sorted((str(r.date), r.value) for r in read_table(spark, silver_path, schema).collect())
+    assert got == [("2024-01-15", 5.0), ("2024-01-16", 2.0)]
+    assert os.stat(f16).st_mtime_ns == before  # the other day of the same month was not rewritten
