@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerline.operators import anomalies as anom
 from ledgerline.operators import gold, profile
