@@ -140,3 +140,26 @@ def test_text_extracted_at(spark):
     )
     got = sorted((r.value, r.extracted_at is None) for r in unify(df).collect())
     assert got == [(1.0, False), (2.0, True)]
+
+
+def test_rebalanced_writer_splits_hot_partition(spark, tmp_dir):
+    # One product-day holding every row: with a small advisory partition size
+    # AQE splits that partition's rows over several tasks (several files)
+    # instead of one task writing them all.  The split follows map-output
+    # boundaries, so the input is spread over several map tasks first (a
+    # large input has thousands of them anyway).
+    from ledgerline.sources.adapters import usage_records
+
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet").repartition(8)
+    hot = usage_records(events).withColumn("date", F.lit("2024-01-15")).withColumn("product", F.lit("logs"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        landing.write_usage(hot, f"{tmp_dir}/raw")
+    finally:
+        spark.conf.set(key, old)
+    d = f"{tmp_dir}/raw/product=logs/year=2024/month=01/day=15"
+    files = [f for f in os.listdir(d) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(d).count() == events.count()

@@ -82,3 +82,28 @@ def test_projection_columns_pruned(spark):
     # the events scan reads only the columns the mart needs
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in p
     assert "props" not in p
+
+
+def test_anomaly_shuffle_join_splits_hot_groups(spark):
+    # Above the broadcast bound the stats join is a sort-merge join; a hot
+    # (product, metric, month) group is then split by AQE's skew-join handling.
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        s = silver(spark).repartition(8)
+        expected = sorted(tuple(r) for r in anom.anomalies(s).collect())
+        df = anom.anomalies(s, broadcast_max_rows=0)
+        got = sorted(tuple(r) for r in df.collect())
+        final = plan(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in final
+    assert got == expected
