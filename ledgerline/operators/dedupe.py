@@ -44,12 +44,13 @@ def dedupe_latest(
     if on_duplicate == "error":
         aggs.append(F.count(F.lit(1)).alias("_n"))
     grouped = df.groupBy(*keys).agg(*aggs)
-    fields = {c: F.col(f"_latest._o{i}") for i, c in enumerate(order_cols)}
+    fields = {c: F.col(c) for c in keys}
+    fields.update({c: F.col(f"_latest._o{i}") for i, c in enumerate(order_cols)})
     fields.update({c: F.col(f"_latest._p{i}") for i, c in enumerate(rest)})
     if on_duplicate == "error":
-        first = next(iter(fields))
-        fields[first] = F.coalesce(
+        # Attached to a key column, which every consumer of the result reads.
+        fields[keys[0]] = F.coalesce(
             F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate source key in dedupe_latest"))),
-            fields[first],
+            F.col(keys[0]),
         )
-    return grouped.select(*[F.col(c) if c in keys else fields[c].alias(c) for c in df.columns])
+    return grouped.select(*[fields[c].alias(c) for c in df.columns])

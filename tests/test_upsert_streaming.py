@@ -200,3 +200,10 @@ def test_silver_stream_day_partitions(spark, tmp_dir):
     got = sorted((str(r.date), r.value) for r in read_table(spark, silver_path, schema).collect())
     assert got == [("2024-01-15", 5.0), ("2024-01-16", 2.0)]
     assert os.stat(f16).st_mtime_ns == before  # the other day of the same month was not rewritten
+
+
+def test_dedupe_error_on_key_only_frame(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "k string, j int")
+    with pytest.raises(Exception, match="duplicate"):
+        dedupe_latest(df, ["k", "j"], on_duplicate="error").collect()
+    assert sorted(tuple(r) for r in dedupe_latest(df, ["k", "j"]).collect()) == [("a", 1), ("b", 2)]
