@@ -31,10 +31,13 @@ from ledgerline.operators import gold
 from ledgerline.operators.upsert import read_table
 from ledgerline.schemas import SILVER_PARTITIONS, SILVER_SCHEMA
 from ledgerline.session import apply_scale_conf
+from ledgerline.sources import tables
 from ledgerline.streaming.bronze_stream import ingest
 from ledgerline.streaming.silver_stream import upsert_stream
 
 GOLD_MARTS = ("gold_daily_summary", "gold_product_trend", "gold_top_hosts", "gold_cost_anomalies")
+BRONZE_TABLE = "bronze_raw"
+SILVER_TABLE = "silver_costs"
 
 
 @dataclass(frozen=True)
@@ -99,9 +102,37 @@ def write_counted(df: DataFrame, path: str, name: str) -> int:
     return int(obs.get["rows"])
 
 
-def run_gold(spark: SparkSession, paths: LakePaths) -> dict[str, int]:
+def write_counted_table(df: DataFrame, path: str, table: str) -> int:
+    """Replace catalog table ``table`` (data at ``path``); return the observed row count."""
+    obs = Observation(table)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet").option(
+        "path", path
+    ).saveAsTable(table)
+    return int(obs.get["rows"])
+
+
+def run_gold(spark: SparkSession, paths: LakePaths, database: str | None = None) -> dict[str, int]:
     silver = read_silver(spark, paths)
-    return {name: write_counted(df, paths.gold(name), name) for name, df in gold_marts(silver).items()}
+    if database is None:
+        return {name: write_counted(df, paths.gold(name), name) for name, df in gold_marts(silver).items()}
+    return {
+        name: write_counted_table(df, paths.gold(name), f"{database}.{name}")
+        for name, df in gold_marts(silver).items()
+    }
+
+
+def register_tables(spark: SparkSession, paths: LakePaths, database: str) -> None:
+    """Catalog tables over the lake folders (Bronze, Silver); Gold tables are saved by ``run_gold``."""
+    tables.create_database(spark, database)
+    tables.create_bronze_table(spark, f"{database}.{BRONZE_TABLE}", paths.bronze)
+    tables.create_silver_table(spark, f"{database}.{SILVER_TABLE}", paths.silver)
+
+
+def refresh_partitions(spark: SparkSession, database: str) -> None:
+    """Make partitions written by the path-based stream and upsert visible to the catalog."""
+    for name in (BRONZE_TABLE, SILVER_TABLE):
+        spark.catalog.recoverPartitions(f"{database}.{name}")
+        spark.catalog.refreshTable(f"{database}.{name}")
 
 
 def read_gold(spark: SparkSession, paths: LakePaths, name: str) -> DataFrame:
@@ -114,12 +145,21 @@ def run_all(
     landing: str | None = None,
     product: str | None = None,
     silver_partitions: tuple[str, ...] = tuple(SILVER_PARTITIONS),
+    database: str | None = None,
 ) -> dict:
+    """Run every layer.  With ``database`` the layers are also catalog tables
+    (``<database>.bronze_raw``, ``.silver_costs`` and one per Gold mart)."""
     apply_scale_conf(spark)
     paths = lake_paths(root, landing)
+    if database:
+        if tuple(silver_partitions) != tuple(SILVER_PARTITIONS):
+            raise ValueError("catalog mode uses the declared Silver layout (product, year, month)")
+        register_tables(spark, paths, database)
     run_bronze(spark, paths, product)
     run_silver(spark, paths, partitions=silver_partitions)
-    return {"gold_rows": run_gold(spark, paths), "root": paths.root}
+    if database:
+        refresh_partitions(spark, database)
+    return {"gold_rows": run_gold(spark, paths, database), "root": paths.root}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -127,9 +167,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--root", required=True, help="shared folder holding the lake tables")
     ap.add_argument("--landing", default=None, help="landing root (default <root>/raw)")
     ap.add_argument("--product", default=None, help="one product directory, or all")
+    ap.add_argument("--database", default=None, help="also register the layers as tables in this database")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(run_all(spark, args.root, args.landing, args.product)))
+    print(json.dumps(run_all(spark, args.root, args.landing, args.product, database=args.database)))
 
 
 if __name__ == "__main__":

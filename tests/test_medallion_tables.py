@@ -73,3 +73,22 @@ def test_ddl_and_table_sinks(spark, tmp_dir):
     tables.overwrite_table(spark.range(2).withColumn("b", F.lit("x")), "ll_costs.g", f"{tmp_dir}/g")
     g = spark.table("ll_costs.g")
     assert g.columns == ["id", "b"] and g.count() == 2
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+def test_run_all_catalog_mode(spark, tmp_dir):
+    root = f"{tmp_dir}/lake"
+    paths = medallion.lake_paths(root)
+    u, c = usage_from(spark, SF), cost_from(spark, SF)
+    landing.write_usage(u, paths.landing)
+    landing.write_cost(c, paths.landing)
+    out = medallion.run_all(spark, root, database="ll_lake")
+    silver = spark.table("ll_lake.silver_costs")
+    batch_silver = dedupe_latest(transform(unify(superset(u, c))), SILVER_KEY)
+    assert silver.count() == batch_silver.count()
+    assert spark.table("ll_lake.bronze_raw").count() == unify(superset(u, c)).count()
+    for name, n in out["gold_rows"].items():
+        assert spark.table(f"ll_lake.{name}").count() == n
+    # partition pruning through the catalog table
+    p = spark.table("ll_lake.silver_costs").filter("product = 'apm'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in p
