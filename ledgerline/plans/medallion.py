@@ -30,7 +30,7 @@ from ledgerline.operators import anomalies as anom
 from ledgerline.operators import gold
 from ledgerline.operators.upsert import read_table
 from ledgerline.schemas import SILVER_PARTITIONS, SILVER_SCHEMA
-from ledgerline.session import apply_scale_conf
+from ledgerline.session import apply_scale_conf, path_exists
 from ledgerline.sources import tables
 from ledgerline.streaming.bronze_stream import ingest
 from ledgerline.streaming.silver_stream import upsert_stream
@@ -112,6 +112,8 @@ def write_counted_table(df: DataFrame, path: str, table: str) -> int:
 
 
 def run_gold(spark: SparkSession, paths: LakePaths, database: str | None = None) -> dict[str, int]:
+    if not path_exists(spark, paths.silver):  # nothing ingested yet
+        return {}
     silver = read_silver(spark, paths)
     if database is None:
         return {name: write_counted(df, paths.gold(name), name) for name, df in gold_marts(silver).items()}

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.schemas import COST_PRODUCT, LANDING_SCHEMA
+from ledgerline.session import path_exists
 
 USAGE_PARTITIONS = ["product", "year", "month", "day"]
 COST_PARTITIONS = ["product", "year", "month"]
@@ -85,6 +86,9 @@ def read_landing(
     timestamp (what pandas writes by default), which Spark cannot read as a
     timestamp: the column is read as a long and converted to microseconds.
     """
+    if not path_exists(spark, product_path(root, product)):  # nothing landed yet
+        empty = spark.createDataFrame([], LANDING_SCHEMA).drop("cost_month")
+        return empty.withColumn("_source_file", F.lit(None).cast("string"))
     schema = _nanos_schema() if nanos else LANDING_SCHEMA
     if nanos:
         spark.conf.set(NANOS_CONF, "true")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.bronze import unify
 from ledgerline.schemas import BRONZE_PARTITIONS, BRONZE_SCHEMA, LANDING_SCHEMA
+from ledgerline.session import path_exists
 from ledgerline.sources.landing import product_path, with_landing_columns
 
 
@@ -52,8 +53,11 @@ def ingest(
 
     With ``table`` the sink is that catalog table (created by
     :func:`ledgerline.sources.tables.create_bronze_table` or on first run)
-    instead of the bare path.  Returns the last progress report (metadata).
+    instead of the bare path.  Returns the last progress report (metadata);
+    an empty dict when nothing has been landed for the selection yet.
     """
+    if not path_exists(spark, product_path(landing_root, product)):
+        return {}
     writer = (
         bronze_stream(spark, landing_root, product, max_files_per_trigger)
         .writeStream.format("parquet")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.operators.silver import transform
 from ledgerline.operators.upsert import upsert
 from ledgerline.schemas import SILVER_PARTITIONS
+from ledgerline.session import path_exists
 from ledgerline.streaming.bronze_stream import BRONZE_SCHEMA
 
 
@@ -34,7 +35,10 @@ def upsert_stream(
     ``partitions`` is the Silver layout; each micro-batch rewrites only the
     partitions it touches, so a finer layout (e.g. adding ``date``) bounds the
     rewrite of a daily increment to the touched days instead of whole months.
+    Does nothing while the Bronze table does not exist yet.
     """
+    if not path_exists(spark, bronze_path):
+        return
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

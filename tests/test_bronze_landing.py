@@ -163,3 +163,14 @@ def test_rebalanced_writer_splits_hot_partition(spark, tmp_dir):
     files = [f for f in os.listdir(d) if f.endswith(".parquet")]
     assert len(files) > 1
     assert spark.read.parquet(d).count() == events.count()
+
+
+def test_missing_product_directory_reads_empty(spark, tmp_dir):
+    from ledgerline.streaming.bronze_stream import ingest
+
+    root = f"{tmp_dir}/raw"
+    landing.write_usage(usage_df(spark, [("apm", "2024-01-15", "a", "m", 1.0, "spans")]), root)
+    scoped = landing.read_landing(spark, root, "logs")
+    assert scoped.count() == 0
+    assert unify(scoped).count() == 0
+    assert ingest(spark, root, f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt", product="logs", timeout_s=60) == {}

@@ -92,3 +92,8 @@ def test_run_all_catalog_mode(spark, tmp_dir):
     # partition pruning through the catalog table
     p = spark.table("ll_lake.silver_costs").filter("product = 'apm'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in p
+
+
+def test_run_all_before_anything_landed(spark, tmp_dir):
+    out = medallion.run_all(spark, f"{tmp_dir}/lake")
+    assert out["gold_rows"] == {}
