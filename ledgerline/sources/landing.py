@@ -43,17 +43,24 @@ def _write(df: DataFrame, root: str, partitions: list[str], mode: str, skip_empt
     return True
 
 
+def _timestamped(df: DataFrame) -> DataFrame:
+    """``extracted_at`` as a timestamp (ISO text is parsed; bad text -> NULL)."""
+    if dict(df.dtypes).get("extracted_at") == "string":
+        return df.withColumn("extracted_at", F.try_to_timestamp(F.col("extracted_at")))
+    return df
+
+
 def write_usage(usage: DataFrame, root: str, mode: str = "append", skip_empty: bool = True) -> bool:
     """Land usage records partitioned by product and day.  Returns False when empty."""
     parts = F.split(F.col("date"), "-")
-    df = usage.withColumns({"year": parts[0], "month": parts[1], "day": parts[2]})
+    df = _timestamped(usage).withColumns({"year": parts[0], "month": parts[1], "day": parts[2]})
     return _write(df, root, USAGE_PARTITIONS, mode, skip_empty)
 
 
 def write_cost(cost: DataFrame, root: str, mode: str = "append", skip_empty: bool = True) -> bool:
     """Land cost records partitioned by month (text month kept as ``cost_month``)."""
     parts = F.split(F.col("cost_month"), "-")
-    df = cost.withColumnRenamed("month", "cost_month").withColumns(
+    df = _timestamped(cost).withColumnRenamed("month", "cost_month").withColumns(
         {"product": F.lit(COST_PRODUCT), "year": parts[0], "month": parts[1]}
     )
     return _write(df, root, COST_PARTITIONS, mode, skip_empty)

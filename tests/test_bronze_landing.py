@@ -174,3 +174,14 @@ def test_missing_product_directory_reads_empty(spark, tmp_dir):
     assert scoped.count() == 0
     assert unify(scoped).count() == 0
     assert ingest(spark, root, f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt", product="logs", timeout_s=60) == {}
+
+
+def test_writer_parses_text_timestamps(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    df = spark.createDataFrame(
+        [("apm", "2024-01-15", "o", "m", 1.0, "spans", "2024-01-15T06:30:00.250000")],
+        "product string, date string, org_name string, metric_name string, value double, unit string, extracted_at string",
+    )
+    landing.write_usage(df, root)
+    r = landing.read_landing(spark, root).collect()[0]
+    assert (r.extracted_at.hour, r.extracted_at.minute, r.extracted_at.microsecond) == (6, 30, 250000)
