@@ -55,7 +55,9 @@ def mom_change(trend: DataFrame) -> DataFrame:
 def hosts_by_cloud(hosts: DataFrame, limit: int = 50) -> DataFrame:
     """Average of the monthly host averages per provider and month, latest first.
 
-    Ties on (year, month) are broken by provider so the limit is deterministic.
+    An average of averages (each metric/org average counts once, whatever its
+    number of days), as the source dashboard computes it.  Ties on (year,
+    month) are broken by provider so the limit is deterministic.
     """
     return (
         hosts.filter(F.col("cloud_provider") != "Total")
@@ -117,4 +119,6 @@ LIMIT {limit}
 
 
 def exec_summary(trend: DataFrame, limit: int = 12) -> DataFrame:
+    """Last ``limit`` months: total cost, products with cost, and the sum of
+    ``active_days`` over products and orgs (a day counts once per product/org)."""
     return trend.sparkSession.sql(EXEC_SUMMARY_SQL, trend=trend, limit=int(limit))
