@@ -92,6 +92,9 @@ def read_landing(
     ``nanos=True`` reads files whose ``extracted_at`` is a nanosecond Parquet
     timestamp (what pandas writes by default), which Spark cannot read as a
     timestamp: the column is read as a long and converted to microseconds.
+    This sets ``spark.sql.legacy.parquet.nanosAsLong`` on the session (the
+    reader consults it when the job runs, so it is left on; other nanosecond
+    Parquet columns read in this session then also come back as longs).
     """
     if not path_exists(spark, product_path(root, product)):  # nothing landed yet
         empty = spark.createDataFrame([], LANDING_SCHEMA).drop("cost_month")
@@ -116,12 +119,20 @@ def migrate_landing(spark: SparkSession, src_root: str, dst_root: str, nanos: bo
     Usage files keep their day partitions; cost files get ``cost_month``.
     Timestamps become microseconds.  One distributed job per record kind.
     """
-    landed = read_landing(spark, src_root, nanos=nanos)
-    is_cost = F.col("cost_usd").isNotNull() & F.col("date").isNull()
-    usage = landed.filter(~is_cost).select("product", "date", "org_name", "metric_name", "value", "unit", "extracted_at")
-    cost = landed.filter(is_cost).select("product_name", "charge_type", "cost_usd", "month", "org_name", "extracted_at")
-    write_usage(usage, dst_root)
-    write_cost(cost, dst_root)
+    previous = spark.conf.get(NANOS_CONF, "false")
+    try:
+        landed = read_landing(spark, src_root, nanos=nanos)
+        is_cost = F.col("cost_usd").isNotNull() & F.col("date").isNull()
+        usage = landed.filter(~is_cost).select(
+            "product", "date", "org_name", "metric_name", "value", "unit", "extracted_at"
+        )
+        cost = landed.filter(is_cost).select(
+            "product_name", "charge_type", "cost_usd", "month", "org_name", "extracted_at"
+        )
+        write_usage(usage, dst_root)
+        write_cost(cost, dst_root)
+    finally:
+        spark.conf.set(NANOS_CONF, previous)  # the jobs above have run
 
 
 def with_landing_columns(raw: DataFrame) -> DataFrame:
