@@ -50,11 +50,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], mode: str) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partitions: Sequence[str], mode: str, dynamic: bool = True
+) -> None:
+    """Partitioned Parquet write; ``dynamic`` overwrite replaces only the
+    partitions present in ``df``, static overwrite replaces the whole table."""
     (
         df.hint("rebalance", *partitions)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*partitions)
         .parquet(path)
     )
@@ -79,7 +83,9 @@ def upsert(
     """Merge ``source`` into the partitioned Parquet table at ``target_path``.
 
     An absent or empty target is a first load (plain partitioned write).
-    Returns small bookkeeping counts (touched partitions, source rows).
+    Returns small bookkeeping counts (touched partitions, source rows) and,
+    under ``"touched"``, a DataFrame of the partition values written (read
+    from the staged source; lazy).
     """
     spark = source.sparkSession
     keys, partitions = list(keys), list(partitions)
@@ -87,7 +93,12 @@ def upsert(
     src = stage(dedupe_latest(source, keys, order, on_duplicate), "upsert-source")
     if not table_exists(spark, target_path):
         write_partitioned(src, target_path, partitions, "overwrite")
-        return {"touched_partitions": -1, "source_rows": src.count(), "first_load": 1}
+        return {
+            "touched_partitions": -1,
+            "source_rows": src.count(),
+            "first_load": 1,
+            "touched": src.select(*partitions).distinct(),
+        }
 
     schema = src.schema  # target has the same layout; avoids partition-type inference
     target = read_table(spark, target_path, schema).select(*columns)
@@ -96,7 +107,7 @@ def upsert(
     # At most LITERAL_PRUNE_MAX + 1 partition keys reach the driver.
     keys_seen = touched.limit(LITERAL_PRUNE_MAX + 1).collect()
     if not keys_seen:
-        return {"touched_partitions": 0, "source_rows": 0, "first_load": 0}
+        return {"touched_partitions": 0, "source_rows": 0, "first_load": 0, "touched": touched}
     if len(keys_seen) <= LITERAL_PRUNE_MAX:
         n_touched = len(keys_seen)
         in_touched = target.filter(partition_predicate(keys_seen, partitions))
@@ -116,7 +127,22 @@ def upsert(
     kept = in_touched.join(src_keys, match, "left_anti")
     merged = stage(kept.unionByName(src.select(*columns)), "upsert-merged")
     write_partitioned(merged, target_path, partitions, "overwrite")
-    return {"touched_partitions": n_touched, "source_rows": n_src, "first_load": 0}
+    return {"touched_partitions": n_touched, "source_rows": n_src, "first_load": 0, "touched": touched}
+
+
+def drop_partition(spark: SparkSession, table_path: str, values: dict) -> None:
+    """Delete one partition directory (values in partition-column order).
+
+    Dynamic overwrite cannot empty a partition; this is how a partition whose
+    recomputed content is empty is cleared.
+    """
+    sc = spark.sparkContext
+    escape = sc._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    rel = "/".join(f"{escape(k)}={escape(str(v))}" for k, v in values.items())
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(f"{table_path.rstrip('/')}/{rel}")
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(jpath):
+        fs.delete(jpath, True)
 
 
 def partition_predicate(keys, partitions: Sequence[str]):

@@ -23,12 +23,14 @@ import argparse
 import json
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import anomalies as anom
 from ledgerline.operators import gold
 from ledgerline.operators.upsert import read_table
+from ledgerline.plans.gold_refresh import refresh_gold
 from ledgerline.schemas import SILVER_PARTITIONS, SILVER_SCHEMA
 from ledgerline.session import apply_scale_conf, path_exists
 from ledgerline.sources import tables
@@ -59,6 +61,14 @@ class LakePaths:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
+    @property
+    def silver_changes(self) -> str:
+        return f"{self.root}/_changes/silver"
+
+    @property
+    def gold_state(self) -> str:
+        return f"{self.root}/_changes/gold_consumed"
+
 
 def lake_paths(root: str, landing: str | None = None) -> LakePaths:
     root = root.rstrip("/")
@@ -77,7 +87,8 @@ def run_silver(
     partitions: tuple[str, ...] = SILVER_PARTITIONS,
 ) -> None:
     upsert_stream(
-        spark, paths.bronze, paths.silver, paths.checkpoint("silver"), month_grain, null_safe, partitions=partitions
+        spark, paths.bronze, paths.silver, paths.checkpoint("silver"), month_grain, null_safe,
+        partitions=partitions, changes_path=paths.silver_changes,
     )
 
 
@@ -138,7 +149,21 @@ def refresh_partitions(spark: SparkSession, database: str) -> None:
 
 
 def read_gold(spark: SparkSession, paths: LakePaths, name: str) -> DataFrame:
-    return spark.read.parquet(paths.gold(name))
+    """A Gold mart; an empty mart (right columns, no rows) when it holds no data files."""
+    try:
+        return spark.read.parquet(paths.gold(name))
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        empty = spark.createDataFrame([], SILVER_SCHEMA)
+        return {
+            "gold_daily_summary": lambda: gold.with_updated_at(gold.daily_summary(empty)),
+            "gold_product_trend": lambda: gold.with_updated_at(gold.product_trend(empty)),
+            "gold_top_hosts": lambda: gold.with_updated_at(gold.top_hosts(empty)),
+            "gold_cost_anomalies": lambda: gold.with_updated_at(
+                anom.score(empty, anom.group_stats(empty)).select(*anom.OUTPUT)
+            ),
+        }[name]()
 
 
 def run_all(
@@ -148,11 +173,19 @@ def run_all(
     product: str | None = None,
     silver_partitions: tuple[str, ...] = tuple(SILVER_PARTITIONS),
     database: str | None = None,
+    incremental: bool = False,
 ) -> dict:
     """Run every layer.  With ``database`` the layers are also catalog tables
-    (``<database>.bronze_raw``, ``.silver_costs`` and one per Gold mart)."""
+    (``<database>.bronze_raw``, ``.silver_costs`` and one per Gold mart).
+
+    ``incremental=True`` refreshes Gold from the Silver changes logged since
+    the last refresh instead of rebuilding it (see ``plans/gold_refresh``;
+    Gold then uses partitioned layouts and the anomaly mart gains ``month``).
+    """
     apply_scale_conf(spark)
     paths = lake_paths(root, landing)
+    if incremental and (database or tuple(silver_partitions) != tuple(SILVER_PARTITIONS)):
+        raise ValueError("incremental Gold uses the declared Silver layout and path tables")
     if database:
         if tuple(silver_partitions) != tuple(SILVER_PARTITIONS):
             raise ValueError("catalog mode uses the declared Silver layout (product, year, month)")
@@ -161,6 +194,9 @@ def run_all(
     run_silver(spark, paths, partitions=silver_partitions)
     if database:
         refresh_partitions(spark, database)
+    if incremental:
+        done = refresh_gold(spark, paths, lambda: read_silver(spark, paths), paths.silver_changes, paths.gold_state)
+        return {"gold": done, "root": paths.root}
     return {"gold_rows": run_gold(spark, paths, database), "root": paths.root}
 
 
@@ -170,9 +206,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--landing", default=None, help="landing root (default <root>/raw)")
     ap.add_argument("--product", default=None, help="one product directory, or all")
     ap.add_argument("--database", default=None, help="also register the layers as tables in this database")
+    ap.add_argument("--incremental", action="store_true", help="refresh Gold from the logged Silver changes")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(run_all(spark, args.root, args.landing, args.product, database=args.database)))
+    out = run_all(spark, args.root, args.landing, args.product, database=args.database, incremental=args.incremental)
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators.silver import transform
 from ledgerline.operators.upsert import upsert
@@ -29,6 +30,7 @@ def upsert_stream(
     max_files_per_trigger: int | None = 1000,
     timeout_s: float | None = None,
     partitions: Sequence[str] = SILVER_PARTITIONS,
+    changes_path: str | None = None,
 ) -> None:
     """Merge new Bronze rows into the Silver table at ``silver_path``.
 
@@ -36,6 +38,11 @@ def upsert_stream(
     partitions it touches, so a finer layout (e.g. adding ``date``) bounds the
     rewrite of a daily increment to the touched days instead of whole months.
     Does nothing while the Bronze table does not exist yet.
+
+    With ``changes_path`` every micro-batch appends the Silver partitions it
+    rewrote, tagged with its batch id, after its upsert succeeded (a replayed
+    batch logs them again, which is harmless); the incremental Gold refresh
+    reads that log.
     """
     if not path_exists(spark, bronze_path):
         return
@@ -44,8 +51,12 @@ def upsert_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     bronze = reader.parquet(bronze_path)
 
-    def merge_batch(batch: DataFrame, _epoch: int) -> None:
-        upsert(transform(batch, month_grain), silver_path, partitions=partitions, null_safe=null_safe)
+    def merge_batch(batch: DataFrame, epoch: int) -> None:
+        info = upsert(transform(batch, month_grain), silver_path, partitions=partitions, null_safe=null_safe)
+        if changes_path:
+            info["touched"].withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("append").parquet(
+                changes_path
+            )
 
     query = (
         bronze.writeStream.foreachBatch(merge_batch)

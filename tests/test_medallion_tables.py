@@ -97,3 +97,80 @@ def test_run_all_catalog_mode(spark, tmp_dir):
 def test_run_all_before_anything_landed(spark, tmp_dir):
     out = medallion.run_all(spark, f"{tmp_dir}/lake")
     assert out["gold_rows"] == {}
+
+
+def _rows(df, drop=("_gold_updated_at", "_silver_updated_at", "month_p")):
+    cols = sorted(c for c in df.columns if c not in drop)
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr), cols
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+def test_incremental_gold_equals_full_rebuild(spark, tmp_dir):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import anomalies as anom
+
+    root = f"{tmp_dir}/lake"
+    paths = medallion.lake_paths(root)
+    u, c = usage_from(spark, SF), cost_from(spark, SF)
+    landing.write_usage(u, paths.landing)
+    landing.write_cost(c, paths.landing)
+    first = medallion.run_all(spark, root, incremental=True)
+    assert first["gold"]["mode"] == "full"
+    assert medallion.run_all(spark, root, incremental=True)["gold"]["mode"] == "unchanged"
+
+    # A cost partition we will not touch: its daily files must survive as they are.
+    daily = paths.gold("gold_daily_summary")
+    keep_dir = os.path.join(daily, "product=estimated_cost", "year=1999", "month=7")
+    keep_file = [os.path.join(keep_dir, f) for f in os.listdir(keep_dir) if f.endswith(".parquet")][0]
+    before = os.stat(keep_file).st_mtime_ns
+
+    # Re-extraction: one usage day with new values, one cost month doubled.
+    later = F.lit(dt.datetime(2030, 1, 1))
+    u2 = u.filter(F.col("date") == "2024-01-15").withColumn("value", F.col("value") + 7).withColumn("extracted_at", later)
+    c2 = c.filter(F.col("month") == "1996-03").withColumn("cost_usd", F.col("cost_usd") * 2).withColumn("extracted_at", later)
+    landing.write_usage(u2, paths.landing)
+    landing.write_cost(c2, paths.landing)
+    second = medallion.run_all(spark, root, incremental=True)
+    assert second["gold"]["mode"] == "incremental"
+    assert second["gold"]["touched_partitions"] == 4  # three usage products in 2024-01, cost 1996-03
+
+    silver = medallion.read_silver(spark, paths)
+    expected = {
+        "gold_daily_summary": gold.daily_summary(silver),
+        "gold_product_trend": gold.product_trend(silver),
+        "gold_top_hosts": gold.top_hosts(silver),
+        "gold_cost_anomalies": anom.anomalies(silver),
+    }
+    for name, exp in expected.items():
+        got = medallion.read_gold(spark, paths, name)
+        if name == "gold_cost_anomalies":
+            got = got.drop("month")
+        g, gcols = _rows(got)
+        e, ecols = _rows(exp)
+        assert gcols == ecols, name
+        assert g == e, name
+    assert os.stat(keep_file).st_mtime_ns == before
+
+
+def test_incremental_drops_emptied_anomaly_group(spark, tmp_dir):
+    import datetime as dt
+
+    from helpers import usage_df
+
+    root = f"{tmp_dir}/lake"
+    paths = medallion.lake_paths(root)
+    t0, t1 = dt.datetime(2024, 3, 20), dt.datetime(2024, 3, 21)
+    rows = [("apm", f"2024-03-{d:02d}", "o", "indexed_spans", 1.0 if d < 11 else 2.0, "spans", t0) for d in range(1, 12)]
+    landing.write_usage(usage_df(spark, rows), paths.landing)
+    medallion.run_all(spark, root, incremental=True)
+    assert medallion.read_gold(spark, paths, "gold_cost_anomalies").count() == 1
+    # the outlier is corrected: the group is flat, its anomaly must disappear
+    landing.write_usage(usage_df(spark, [("apm", "2024-03-11", "o", "indexed_spans", 1.0, "spans", t1)]), paths.landing)
+    out = medallion.run_all(spark, root, incremental=True)
+    assert out["gold"]["mode"] == "incremental"
+    assert not os.path.exists(os.path.join(paths.gold("gold_cost_anomalies"), "product=apm", "month=3"))
+    assert medallion.read_gold(spark, paths, "gold_daily_summary").filter("date = '2024-03-11'").first().usage_total == 1.0
+    assert medallion.read_gold(spark, paths, "gold_cost_anomalies").count() == 0
