@@ -48,10 +48,17 @@ def _state(spark: SparkSession, state_path: str) -> int | None:
     return None if row is None or row.b is None else int(row.b)
 
 
-def _save_state(spark: SparkSession, state_path: str, batch_id: int) -> None:
+def _save_state(spark: SparkSession, state_path: str, batch_id: int | None) -> None:
     spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(state_path)
 
 
+def reset_state(spark: SparkSession, state_path: str) -> None:
+    """Forget the consumed position: the next refresh rebuilds (used after a
+    full rebuild in the unpartitioned layout)."""
+    if path_exists(spark, state_path):
+        _save_state(spark, state_path, None)
+
+
 def _anomaly_rows(silver: DataFrame) -> DataFrame:
     rows = anom.anomalies(silver, carry=("_silver_updated_at",))
     return gold.with_updated_at(rows.withColumn("month", F.month("date")))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import anomalies as anom
 from ledgerline.operators import gold
 from ledgerline.operators.upsert import read_table
-from ledgerline.plans.gold_refresh import refresh_gold
+from ledgerline.plans.gold_refresh import refresh_gold, reset_state
 from ledgerline.schemas import SILVER_PARTITIONS, SILVER_SCHEMA
 from ledgerline.session import apply_scale_conf, path_exists
 from ledgerline.sources import tables
@@ -126,6 +126,7 @@ def run_gold(spark: SparkSession, paths: LakePaths, database: str | None = None)
     if not path_exists(spark, paths.silver):  # nothing ingested yet
         return {}
     silver = read_silver(spark, paths)
+    reset_state(spark, paths.gold_state)  # a later incremental refresh must rebuild this layout
     if database is None:
         return {name: write_counted(df, paths.gold(name), name) for name, df in gold_marts(silver).items()}
     return {

@@ -174,3 +174,15 @@ def test_incremental_drops_emptied_anomaly_group(spark, tmp_dir):
     assert not os.path.exists(os.path.join(paths.gold("gold_cost_anomalies"), "product=apm", "month=3"))
     assert medallion.read_gold(spark, paths, "gold_daily_summary").filter("date = '2024-03-11'").first().usage_total == 1.0
     assert medallion.read_gold(spark, paths, "gold_cost_anomalies").count() == 0
+
+
+def test_switching_gold_modes_rebuilds(spark, tmp_dir):
+    from helpers import usage_df
+
+    root = f"{tmp_dir}/lake"
+    paths = medallion.lake_paths(root)
+    landing.write_usage(usage_df(spark, [("apm", "2024-03-01", "o", "indexed_spans", 3.0, "spans")]), paths.landing)
+    assert medallion.run_all(spark, root, incremental=True)["gold"]["mode"] == "full"
+    medallion.run_all(spark, root)  # full rebuild, unpartitioned layout
+    assert medallion.run_all(spark, root, incremental=True)["gold"]["mode"] == "full"
+    assert medallion.read_gold(spark, paths, "gold_daily_summary").count() == 1
