@@ -1,9 +1,8 @@
 """Dashboard tables over the Gold marts.
 
 The charts of the source system are drawn from these tables; here they stay
-DataFrames (the caller decides whether to plot, write or collect).  The SQL
-dashboards are Spark SQL over the marts passed as DataFrame parameters, so no
-global view is registered.
+DataFrames (the caller decides whether to plot, write or collect).  SQL over
+the marts works too once they are catalog tables (``run_all(database=...)``).
 """
 
 from __future__ import annotations
@@ -34,22 +33,14 @@ def monthly_cost_pivot(trend: DataFrame, products: Sequence[str] = COST_PRODUCTS
     )
 
 
-MOM_SQL = """
-SELECT
-    product,
-    CONCAT(year, '-', LPAD(month, 2, '0')) AS period,
-    cost_usd,
-    cost_usd_prev_month,
-    cost_mom_change_pct,
-    cost_trend
-FROM {trend}
-WHERE cost_usd > 0
-ORDER BY product, period DESC
-"""
-
-
 def mom_change(trend: DataFrame) -> DataFrame:
-    return trend.sparkSession.sql(MOM_SQL, trend=trend)
+    """Month-over-month table of the months with cost, latest period first per product."""
+    period = period_label(F.col("year"), F.col("month")).alias("period")
+    return (
+        trend.filter(F.col("cost_usd") > 0)
+        .select("product", period, "cost_usd", "cost_usd_prev_month", "cost_mom_change_pct", "cost_trend")
+        .orderBy("product", F.desc("period"))
+    )
 
 
 def hosts_by_cloud(hosts: DataFrame, limit: int = 50) -> DataFrame:
@@ -80,45 +71,44 @@ def hosts_by_cloud_pivot(by_cloud: DataFrame, providers: Sequence[str] = PROVIDE
     )
 
 
-ANOMALIES_TOP_SQL = """
-SELECT date, product, metric_name, value, avg_value, z_score, anomaly_severity
-FROM (
-    SELECT
-        date,
-        product,
-        metric_name,
-        ROUND(value, 2)     AS value,
-        ROUND(avg_value, 2) AS avg_value,
-        ROUND(z_score, 2)   AS z_score,
-        anomaly_severity,
-        org_name,
-        value               AS raw_value
-    FROM {anomalies}
-)
-ORDER BY date DESC, z_score DESC, product, metric_name, org_name, raw_value DESC
-LIMIT {limit}
-"""
-
-
 def anomalies_top(anomalies: DataFrame, limit: int = 50) -> DataFrame:
-    return anomalies.sparkSession.sql(ANOMALIES_TOP_SQL, anomalies=anomalies, limit=int(limit))
-
-
-EXEC_SUMMARY_SQL = """
-SELECT
-    CONCAT(year, '-', LPAD(month, 2, '0')) AS period,
-    ROUND(SUM(cost_usd), 2)                AS total_cost_usd,
-    COUNT(DISTINCT product)                AS active_products,
-    SUM(active_days)                       AS total_active_days
-FROM {trend}
-WHERE cost_usd > 0
-GROUP BY year, month
-ORDER BY year DESC, month DESC
-LIMIT {limit}
-"""
+    """The ``limit`` latest anomalies, strongest first, values rounded for display.
+
+    Rows are ordered by date and z-score, then by product, metric, org and
+    value so the cut is deterministic (TakeOrderedAndProject: each task keeps
+    ``limit`` rows).
+    """
+    order = [F.desc("date"), F.desc("z_score"), "product", "metric_name", "org_name", F.desc("value")]
+    return anomalies.orderBy(*order).limit(limit).select(
+        "date",
+        "product",
+        "metric_name",
+        F.round("value", 2).alias("value"),
+        F.round("avg_value", 2).alias("avg_value"),
+        F.round("z_score", 2).alias("z_score"),
+        "anomaly_severity",
+    )
 
 
 def exec_summary(trend: DataFrame, limit: int = 12) -> DataFrame:
     """Last ``limit`` months: total cost, products with cost, and the sum of
     ``active_days`` over products and orgs (a day counts once per product/org)."""
-    return trend.sparkSession.sql(EXEC_SUMMARY_SQL, trend=trend, limit=int(limit))
+    monthly = (
+        trend.filter(F.col("cost_usd") > 0)
+        .groupBy("year", "month")
+        .agg(
+            F.round(F.sum("cost_usd"), 2).alias("total_cost_usd"),
+            F.countDistinct("product").alias("active_products"),
+            F.sum("active_days").alias("total_active_days"),
+        )
+    )
+    return (
+        monthly.orderBy(F.desc("year"), F.desc("month"))
+        .limit(limit)
+        .select(
+            period_label(F.col("year"), F.col("month")).alias("period"),
+            "total_cost_usd",
+            "active_products",
+            "total_active_days",
+        )
+    )

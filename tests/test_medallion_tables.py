@@ -89,6 +89,12 @@ def test_run_all_catalog_mode(spark, tmp_dir):
     assert spark.table("ll_lake.bronze_raw").count() == unify(superset(u, c)).count()
     for name, n in out["gold_rows"].items():
         assert spark.table(f"ll_lake.{name}").count() == n
+    # SQL over the catalog tables (what the SQL dashboards run on)
+    by_sql = spark.sql(
+        "SELECT year, month, ROUND(SUM(cost_usd), 2) AS total FROM ll_lake.gold_product_trend "
+        "WHERE cost_usd > 0 GROUP BY year, month"
+    )
+    assert by_sql.count() > 0
     # partition pruning through the catalog table
     p = spark.table("ll_lake.silver_costs").filter("product = 'apm'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in p
