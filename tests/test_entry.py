@@ -41,12 +41,21 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.mark.parametrize("key", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, key):
     df = queries()[key](spark, SF)
-    res = _duck().execute(oracle_sql()[key])
+    con = _duck()
+    res = con.execute(oracle_sql()[key])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
+    otypes = {c: str(t) for c, t in zip(ocols, con.sql(oracle_sql()[key]).types)}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == otypes
     order = sorted(df.columns)
     got = sorted((tuple(_norm(r[c]) for c in order) for r in df.collect()), key=repr)
     idx = [ocols.index(c) for c in order]
