@@ -9,6 +9,7 @@ directory and read back what they wrote.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,18 +56,41 @@ UPSERT_SPLIT_HOUR = 12  # target = morning extraction, source = afternoon re-ext
 # --------------------------------------------------------------------------
 
 
+# Base DataFrames (lazy plans, not data) are built once per session and input
+# folder and shared by the queries: building them is driver-side work (column
+# expressions, analysis) that does not depend on the data.  Every query still
+# runs its whole plan from the input files.
+_BASE: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _base(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    plans = _BASE.setdefault(spark, {})
+    key = (d.rstrip("/"), name)
+    if key not in plans:
+        plans[key] = build()
+    return plans[key]
+
+
+def _usage(spark: SparkSession, d: str) -> DataFrame:
+    return _base(spark, d, "usage", lambda: usage_from(spark, d))
+
+
+def _cost(spark: SparkSession, d: str) -> DataFrame:
+    return _base(spark, d, "cost", lambda: cost_from(spark, d))
+
+
 def _bronze(spark: SparkSession, d: str) -> DataFrame:
-    return unify(superset(usage_from(spark, d), cost_from(spark, d)))
+    return _base(spark, d, "bronze", lambda: unify(superset(_usage(spark, d), _cost(spark, d))))
 
 
 def _silver(spark: SparkSession, d: str) -> DataFrame:
-    return transform(_bronze(spark, d))
+    return _base(spark, d, "silver", lambda: transform(_bronze(spark, d)))
 
 
 def _land(spark: SparkSession, d: str) -> str:
     root = scratch_path(spark, "landing")
-    landing.write_usage(usage_from(spark, d), root)
-    landing.write_cost(cost_from(spark, d), root)
+    landing.write_usage(_usage(spark, d), root)
+    landing.write_cost(_cost(spark, d), root)
     return root
 
 
@@ -128,16 +152,16 @@ def batch_periods(spark, d):
 
 
 def date_window_select(spark, d):
-    return date_window(usage_from(spark, d), WINDOW_END, WINDOW_DAYS).select(*USAGE_OUT)
+    return date_window(_usage(spark, d), WINDOW_END, WINDOW_DAYS).select(*USAGE_OUT)
 
 
 def month_window_select(spark, d):
-    return month_window(cost_from(spark, d), *MONTHS).select(*COST_OUT)
+    return month_window(_cost(spark, d), *MONTHS).select(*COST_OUT)
 
 
 def landing_usage_roundtrip(spark, d):
     root = scratch_path(spark, "landing-usage")
-    landing.write_usage(usage_from(spark, d), root)
+    landing.write_usage(_usage(spark, d), root)
     back = landing.read_usage_landing(spark, root)
     return back.groupBy(
         "product",
@@ -149,7 +173,7 @@ def landing_usage_roundtrip(spark, d):
 
 def landing_cost_roundtrip(spark, d):
     root = scratch_path(spark, "landing-cost")
-    landing.write_cost(cost_from(spark, d), root)
+    landing.write_cost(_cost(spark, d), root)
     back = spark.read.option("basePath", root).parquet(root)
     return back.groupBy(
         "product", F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")
@@ -168,7 +192,7 @@ def landing_file_audit(spark, d):
 def _usage_payload_query(feed: str):
     def run(spark, d):
         path = scratch_path(spark, f"payload-{feed}")
-        payload.land_usage_payloads(payload.usage_payloads_from_records(usage_from(spark, d), feed), path)
+        payload.land_usage_payloads(payload.usage_payloads_from_records(_usage(spark, d), feed), path)
         docs = payload.read_usage_payloads(spark, path, feed)
         return payload.flatten_usage(docs, feed, extracted_at=F.col("extracted_at")).select(*USAGE_OUT)
 
@@ -179,10 +203,10 @@ def _usage_payload_query(feed: str):
 def _land_documents(spark, d) -> str:
     """API documents of every feed, rebuilt from the records and landed."""
     root = scratch_path(spark, "documents")
-    usage = usage_from(spark, d)
+    usage = _usage(spark, d)
     for feed in ("infrastructure", "apm", "logs"):
         payload.land_usage_payloads(payload.usage_payloads_from_records(usage, feed), f"{root}/{feed}")
-    payload.land_cost_payloads(payload.cost_payloads_from_records(cost_from(spark, d)), f"{root}/estimated_cost")
+    payload.land_cost_payloads(payload.cost_payloads_from_records(_cost(spark, d)), f"{root}/estimated_cost")
     return root
 
 
@@ -198,7 +222,7 @@ def extract_dry_run(spark, d):
 
 def payload_cost_flatten(spark, d):
     path = scratch_path(spark, "payload-cost")
-    payload.land_cost_payloads(payload.cost_payloads_from_records(cost_from(spark, d)), path)
+    payload.land_cost_payloads(payload.cost_payloads_from_records(_cost(spark, d)), path)
     docs = payload.read_cost_payloads(spark, path)
     return payload.flatten_cost(docs, extracted_at=F.col("extracted_at")).select(*COST_OUT)
 
@@ -217,7 +241,7 @@ def silver_dedupe_latest(spark, d):
 
 
 def silver_upsert(spark, d):
-    usage_silver = transform(unify(superset(usage_from(spark, d))))
+    usage_silver = transform(unify(superset(_usage(spark, d))))
     morning = F.hour("extracted_at") < UPSERT_SPLIT_HOUR
     path = scratch_path(spark, "silver")
     upsert(usage_silver.filter(morning), path)  # first load
