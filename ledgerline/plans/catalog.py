@@ -63,9 +63,16 @@ UPSERT_SPLIT_HOUR = 12  # target = morning extraction, source = afternoon re-ext
 _BASE: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect clients have no SparkContext
+        return ""
+
+
 def _base(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     plans = _BASE.setdefault(spark, {})
-    key = (d.rstrip("/"), name)
+    key = (_app_id(spark), d.rstrip("/"), name)
     if key not in plans:
         plans[key] = build()
     return plans[key]
