@@ -18,7 +18,9 @@ third of the rows) over several tasks instead of funnelling it through one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,17 +32,20 @@ COST_PARTITIONS = ["product", "year", "month"]
 PRODUCT_PATTERN = r"product=([^/]+)"
 
 
-def _write(df: DataFrame, root: str, partitions: list[str], mode: str, skip_empty: bool) -> bool:
+def _write(df: DataFrame, root: str, partitions: list[str], mode: str, skip_empty: bool) -> int:
+    """Write and return the number of rows written (observed by the write job)."""
     if skip_empty and df.isEmpty():
-        return False
+        return 0
+    obs = Observation(f"landed-{uuid.uuid4().hex[:8]}")
     (
-        df.hint("rebalance", *partitions)
+        df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        .hint("rebalance", *partitions)
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy(*partitions)
         .parquet(root)
     )
-    return True
+    return int(obs.get["rows"])
 
 
 def _timestamped(df: DataFrame) -> DataFrame:
@@ -50,14 +55,15 @@ def _timestamped(df: DataFrame) -> DataFrame:
     return df
 
 
-def write_usage(usage: DataFrame, root: str, mode: str = "append", skip_empty: bool = True) -> bool:
-    """Land usage records partitioned by product and day.  Returns False when empty."""
+def write_usage(usage: DataFrame, root: str, mode: str = "append", skip_empty: bool = True) -> int:
+    """Land usage records partitioned by product and day; returns the rows written
+    (0, and nothing written, for empty input)."""
     parts = F.split(F.col("date"), "-")
     df = _timestamped(usage).withColumns({"year": parts[0], "month": parts[1], "day": parts[2]})
     return _write(df, root, USAGE_PARTITIONS, mode, skip_empty)
 
 
-def write_cost(cost: DataFrame, root: str, mode: str = "append", skip_empty: bool = True) -> bool:
+def write_cost(cost: DataFrame, root: str, mode: str = "append", skip_empty: bool = True) -> int:
     """Land cost records partitioned by month (text month kept as ``cost_month``)."""
     parts = F.split(F.col("cost_month"), "-")
     df = _timestamped(cost).withColumnRenamed("month", "cost_month").withColumns(

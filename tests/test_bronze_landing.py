@@ -32,8 +32,8 @@ def test_ragged_landing_tree(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     u = usage_df(spark, [("infrastructure", "2024-01-15", "acme", "aws_hosts", 4.0, "hosts")])
     c = cost_df(spark, [("apm", "committed", 12.5, "2024-01", "acme")])
-    assert landing.write_usage(u, root)
-    assert landing.write_cost(c, root)
+    assert landing.write_usage(u, root) == 1
+    assert landing.write_cost(c, root) == 1
     dirs = sorted(os.path.relpath(d, root) for d, _, files in os.walk(root) if any(f.endswith(".parquet") for f in files))
     assert dirs == [
         "product=estimated_cost/year=2024/month=01",
@@ -52,7 +52,7 @@ def test_ragged_landing_tree(spark, tmp_dir):
 def test_empty_input_writes_nothing(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     empty = usage_df(spark, [])
-    assert landing.write_usage(empty, root) is False
+    assert landing.write_usage(empty, root) == 0
     assert not os.path.exists(root)
 
 
