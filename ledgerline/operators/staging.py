@@ -13,7 +13,7 @@ a staged table (Parquet footers and the file listing), so they are cheap.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_path
@@ -24,12 +24,34 @@ BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and return the read-back."""
+def stage_at(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet under the shared folder; return the read-back and its folder."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and return the read-back."""
+    return stage_at(df, name)[0]
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder once every job that reads it has finished.
+
+    Only for staging whose readers are done (nothing lazy still points at it).
+    A no-op without a SparkContext (Connect clients); the folder is then left
+    to the checkpoint folder's retention.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(jpath):
+        fs.delete(jpath, True)
 
 
 def stored_bytes(df: DataFrame) -> int | None:

@@ -21,7 +21,9 @@ Plan
    a shuffle join and AQE splits skewed keys.
 4. The new content is staged (a table cannot be overwritten while it is being
    read) and written with dynamic partition overwrite: untouched partitions
-   are never rewritten.
+   are never rewritten.  The staged source and merged copies are then
+   deleted (``release_staging``), so a daily merge leaves no copy of the
+   touched partitions behind.
 
 Not atomic for concurrent readers of the touched partitions; replaying the
 same source is idempotent for non-NULL keys.
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.dedupe import DEFAULT_ORDER, dedupe_latest
-from ledgerline.operators.staging import broadcast_if_small, stage
+from ledgerline.operators.staging import broadcast_if_small, release, stage, stage_at
 from ledgerline.schemas import SILVER_KEY, SILVER_PARTITIONS
 from ledgerline.session import path_exists
 
@@ -79,40 +81,50 @@ def upsert(
     null_safe: bool = False,
     on_duplicate: str = "latest",
     order: Sequence[str] = DEFAULT_ORDER,
-) -> dict[str, int]:
+    release_staging: bool = True,
+) -> dict:
     """Merge ``source`` into the partitioned Parquet table at ``target_path``.
 
     An absent or empty target is a first load (plain partitioned write).
     Returns small bookkeeping counts (touched partitions, source rows) and,
-    under ``"touched"``, a DataFrame of the partition values written (read
-    from the staged source; lazy).
+    under ``"touched"``, a DataFrame of the partition values written.  With
+    ``release_staging`` the staged copies of the source and of the merged
+    partitions are deleted once the final write has succeeded.
     """
     spark = source.sparkSession
     keys, partitions = list(keys), list(partitions)
     columns = source.columns
-    src = stage(dedupe_latest(source, keys, order, on_duplicate), "upsert-source")
+    src, src_path = stage_at(dedupe_latest(source, keys, order, on_duplicate), "upsert-source")
+    staged = [src_path]
+
+    # At most LITERAL_PRUNE_MAX + 1 partition keys reach the driver; above
+    # that the touched partitions stay a staged table.
+    touched = src.select(*partitions).distinct()
+    keys_seen = touched.limit(LITERAL_PRUNE_MAX + 1).collect()
+    if len(keys_seen) <= LITERAL_PRUNE_MAX:
+        touched = spark.createDataFrame(keys_seen, touched.schema)
+    else:
+        touched = stage(touched, "upsert-partitions")
+
+    def done(info: dict) -> dict:
+        if release_staging:
+            for path in staged:
+                release(spark, path)
+        return {**info, "touched": touched}
+
     if not table_exists(spark, target_path):
         write_partitioned(src, target_path, partitions, "overwrite")
-        return {
-            "touched_partitions": -1,
-            "source_rows": src.count(),
-            "first_load": 1,
-            "touched": src.select(*partitions).distinct(),
-        }
+        return done({"touched_partitions": -1, "source_rows": src.count(), "first_load": 1})
+    if not keys_seen:
+        return done({"touched_partitions": 0, "source_rows": 0, "first_load": 0})
 
     schema = src.schema  # target has the same layout; avoids partition-type inference
     target = read_table(spark, target_path, schema).select(*columns)
-
-    touched = src.select(*partitions).distinct()
-    # At most LITERAL_PRUNE_MAX + 1 partition keys reach the driver.
-    keys_seen = touched.limit(LITERAL_PRUNE_MAX + 1).collect()
-    if not keys_seen:
-        return {"touched_partitions": 0, "source_rows": 0, "first_load": 0, "touched": touched}
     if len(keys_seen) <= LITERAL_PRUNE_MAX:
         n_touched = len(keys_seen)
         in_touched = target.filter(partition_predicate(keys_seen, partitions))
     else:
-        bc, n_touched = broadcast_if_small(stage(touched, "upsert-partitions"))
+        bc, n_touched = broadcast_if_small(touched)
         # Null-safe on partition values too: a NULL partition is one directory.
         in_touched = target.join(
             bc.alias("_t"), [target[p].eqNullSafe(F.col(f"_t.{p}")) for p in partitions], "left_semi"
@@ -125,9 +137,10 @@ def upsert(
         for k in keys
     ]
     kept = in_touched.join(src_keys, match, "left_anti")
-    merged = stage(kept.unionByName(src.select(*columns)), "upsert-merged")
+    merged, merged_path = stage_at(kept.unionByName(src.select(*columns)), "upsert-merged")
+    staged.append(merged_path)
     write_partitioned(merged, target_path, partitions, "overwrite")
-    return {"touched_partitions": n_touched, "source_rows": n_src, "first_load": 0, "touched": touched}
+    return done({"touched_partitions": n_touched, "source_rows": n_src, "first_load": 0})
 
 
 def drop_partition(spark: SparkSession, table_path: str, values: dict) -> None:

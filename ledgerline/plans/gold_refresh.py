@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import anomalies as anom
 from ledgerline.operators import gold
-from ledgerline.operators.staging import stage
+from ledgerline.operators.staging import release, stage_at
 from ledgerline.operators.upsert import LITERAL_PRUNE_MAX, drop_partition, partition_predicate, write_partitioned
 from ledgerline.session import path_exists
 
@@ -124,22 +124,24 @@ def refresh_gold(spark: SparkSession, paths, read_silver, changes_path: str, sta
     group_rows = [{"product": p, "month": m} for p, m in groups]
     in_groups = silver.filter(partition_predicate(group_rows, ["product", "month"]))
     anomaly_path = paths.gold("gold_cost_anomalies")
-    fresh_anomalies = stage(_anomaly_rows(in_groups), "gold-anomalies")
+    fresh_anomalies, anomalies_stage = stage_at(_anomaly_rows(in_groups), "gold-anomalies")
     present = {(r.product, r.month) for r in fresh_anomalies.select("product", "month").distinct().collect()}
     write_partitioned(fresh_anomalies, anomaly_path, LAYOUT["gold_cost_anomalies"], "overwrite")
     for p, m in groups:  # a group that has no anomalies any more
         if (p, m) not in present:
             drop_partition(spark, anomaly_path, {"product": p, "month": m})
+    release(spark, anomalies_stage)
 
     # Monthly trend: re-aggregate touched months, keep the others, re-run the lag.
     trend_path = paths.gold("gold_product_trend")
     fresh = gold.monthly_usage_cost(touched)
     if path_exists(spark, trend_path):
         kept = spark.read.parquet(trend_path).filter(~partition_predicate(keys, PARTITIONS))
-        monthly = stage(kept.select(*gold.MONTHLY_COLUMNS).unionByName(fresh), "gold-monthly")
+        monthly, monthly_stage = stage_at(kept.select(*gold.MONTHLY_COLUMNS).unionByName(fresh), "gold-monthly")
     else:
-        monthly = stage(fresh, "gold-monthly")
+        monthly, monthly_stage = stage_at(fresh, "gold-monthly")
     gold.with_updated_at(gold.with_month_over_month(monthly)).write.mode("overwrite").parquet(trend_path)
+    release(spark, monthly_stage)
 
     _save_state(spark, state_path, newest)
     return {"mode": "incremental", "touched_partitions": len(keys), "batches": [last + 1, newest]}

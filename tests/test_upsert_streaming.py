@@ -207,3 +207,24 @@ def test_dedupe_error_on_key_only_frame(spark):
     with pytest.raises(Exception, match="duplicate"):
         dedupe_latest(df, ["k", "j"], on_duplicate="error").collect()
     assert sorted(tuple(r) for r in dedupe_latest(df, ["k", "j"]).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_upsert_releases_its_staging(spark, tmp_dir, monkeypatch):
+    import ledgerline.operators.upsert as up
+
+    seen = []
+    real = up.stage_at
+
+    def recording(df, name="stage"):
+        out, path = real(df, name)
+        seen.append(path)
+        return out, path
+
+    monkeypatch.setattr(up, "stage_at", recording)
+    path = f"{tmp_dir}/silver"
+    up.upsert(silver(spark, [("apm", "2024-01-15", "o", "m", 1.0, "spans", T0)]), path)
+    info = up.upsert(silver(spark, [("apm", "2024-01-15", "o", "m", 2.0, "spans", T1)]), path)
+    assert len(seen) == 3  # source (twice) and merged
+    assert not any(os.path.exists(p.replace("file:", "")) for p in seen)
+    assert [tuple(r) for r in info["touched"].collect()] == [("apm", 2024, 1)]
+    assert [r.value for r in read_table(spark, path, silver(spark, []).schema).collect()] == [2.0]
