@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.selectors import month_window, months_of_window
-from ledgerline.operators.staging import stage
+from ledgerline.operators.staging import release, stage_at
 from ledgerline.schemas import COST_PRODUCT, USAGE_FEEDS
 from ledgerline.session import path_exists
 from ledgerline.sources import landing, payload
@@ -83,12 +83,20 @@ def run_extract(
     if dry_run:
         return _periods(spark, usage, cost).groupBy("product").agg(F.count(F.lit(1)).alias("n"))
     # Stage once: the records feed both the landing write and the summary.
-    usage = stage(usage, "extract-usage") if usage is not None else None
-    cost = stage(cost, "extract-cost") if cost is not None else None
+    staged = []
     if usage is not None:
+        usage, path = stage_at(usage, "extract-usage")
+        staged.append(path)
         landing.write_usage(usage, landing_root)
     if cost is not None:
+        cost, path = stage_at(cost, "extract-cost")
+        staged.append(path)
         landing.write_cost(cost, landing_root)
-    return _periods(spark, usage, cost).groupBy("product").agg(
+    summary = _periods(spark, usage, cost).groupBy("product").agg(
         F.countDistinct("period").alias("periods"), F.count(F.lit(1)).alias("rows")
     )
+    # One row per product: materialise it so the staged records can go.
+    result = spark.createDataFrame(summary.collect(), summary.schema)
+    for path in staged:
+        release(spark, path)
+    return result
