@@ -192,3 +192,15 @@ def test_switching_gold_modes_rebuilds(spark, tmp_dir):
     medallion.run_all(spark, root)  # full rebuild, unpartitioned layout
     assert medallion.run_all(spark, root, incremental=True)["gold"]["mode"] == "full"
     assert medallion.read_gold(spark, paths, "gold_daily_summary").count() == 1
+
+
+def test_command_line_entry(spark, tmp_dir, capsys):
+    import json
+
+    from helpers import usage_df
+
+    root = f"{tmp_dir}/lake"
+    landing.write_usage(usage_df(spark, [("apm", "2024-03-01", "o", "indexed_spans", 3.0, "spans")]), f"{root}/raw")
+    medallion.main(["--root", root, "--incremental"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["gold"]["mode"] == "full" and out["root"] == root
