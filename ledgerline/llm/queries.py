@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, language, near_dup, secrets
+from ledgerline.llm import bpe, decontaminate, language, near_dup, secrets, sharding, warc
 from ledgerline.session import apply_scale_conf
 
 
@@ -16,6 +16,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(body) + 16).cast("long").alias("size"),
+        F.crc32(body).alias("text_crc32"),
+        F.xxhash64(body).alias("text_hash"),
+    )
+    found = sharding.histogram_shards(docs, F.col("text_hash"), F.col("doc_id"), F.col("size"), 40)
+    return found.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,6 +79,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_histogram_shards": op1_histogram_shards,
+    "op2_warc_normaliser": op2_warc_normaliser,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontaminate": op6_decontaminate,
     "op7_secret_scan": op7_secret_scan,
@@ -71,7 +98,7 @@ WITH RECURSIVE tokens AS (
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN []
     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
   FROM tokens
 ), inverted AS (
   SELECT doc_id, unnest(s) AS x FROM sets
@@ -94,4 +121,28 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(r.root, s.doc_id) AS c
 FROM sets s LEFT JOIN roots r ON r.node = s.doc_id
 """
 
-ORACLE: dict[str, str] = {"op5_near_duplicates": NEAR_DUP_SQL}
+# Base32 of the SHA-1: 20 bits of the hex digest give four letters.
+WARC_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), firsts AS (
+  SELECT hex, min(page_id) AS first FROM payloads GROUP BY hex
+), coded AS (
+  SELECT hex, first, string_agg(
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v >> 15) % 32, 1)
+      || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v >> 10) % 32, 1)
+      || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v >> 5) % 32, 1)
+      || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + v % 32, 1), '' ORDER BY i) AS digest
+  FROM (SELECT hex, first, i, ('0x' || substr(hex, i * 5 + 1, 5))::INTEGER AS v
+        FROM firsts, range(8) AS t(i)) GROUP BY hex, first
+)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads JOIN coded USING (hex)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_warc_normaliser": WARC_SQL,
+    "op5_near_duplicates": NEAR_DUP_SQL,
+}
