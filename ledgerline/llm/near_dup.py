@@ -12,18 +12,20 @@ no word: the empty set, linked with nothing).  Documents are linked when
    which two documents differ.
 2. Equal sets become one class, held by its smallest doc_id (a grouped minimum).
 3. Classes that share a band meet at the band's smallest member (a star, not all
-   pairs).  A pair goes on if its sizes can reach the threshold and the XOR
-   population count of its sketches is at most ``MAX_XOR``.
-4. Surviving pairs fetch both whole texts and are confirmed on the full sets.
-5. Star links give components.  Bands whose members still lie in different
-   components are compared again, member by member across components, with
-   the sketch test inside the join; survivors are confirmed the same way.  So a
-   band costs its square only in members that are *not* near-duplicates of
-   one another, and no link between sharing documents is lost.
+   pairs); each class starts with one such pair.  A pair goes on if its sizes can
+   reach the threshold and the XOR population count of its sketches is at most
+   ``MAX_XOR``; survivors fetch both whole texts and are confirmed on the full
+   sets.  Confirmed links give components.
+4. In bands whose members still lie in different components, members outside the
+   component of the band's smallest are paired with it, in the same way.
+5. In bands that are still divided, members of different components are compared
+   each with each, with the sketch test inside the join.  So a band costs its
+   square only in members that are *not* near-duplicates of one another, and no
+   link between documents that share a band is lost to the stars.
 
 A pair of similarity 0.75 shares none of 32 bands of 4 with probability
-(1 - 0.75**4)**32 = 5e-6; the sketch bound lies over five standard deviations
-from its mean count at 0.75.
+(1 - 0.75**4)**32 = 5e-6; the sketch bound lies four standard deviations above
+the mean count at 0.75.
 
 Defined results: null text is an empty text; null doc_id rows are kept, linked
 with nothing (component null); rows that repeat a doc_id are one node; extra
@@ -42,14 +44,14 @@ from pyspark.sql import functions as F
 from ledgerline.llm.components import components
 from ledgerline.llm.text import ID_BITS, chunks, mix, shingle_sets, words
 from ledgerline.llm.workers import ship
-from ledgerline.operators.staging import stage
+from ledgerline.operators.staging import broadcast_if_small, stage
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
-# Differing samples d of k = 128 give an expected XOR count of B/2 * (1 - exp(-4 d / B)).
-# 0.75 expects d = 32; this admits d = 60, which a pair at 0.75 exceeds less than once in 10**7.
-MAX_XOR = int(SKETCH_BITS / 2 * (1 - np.exp(-4 * 60 / SKETCH_BITS))) + 12
+# Differing samples d of k = 128 give an expected XOR count of B/2 * (1 - exp(-4 d / B)):
+# 56.6 at similarity 0.75 (d = 32), with a standard deviation of about 10 over both draws.
+MAX_XOR = 97
 
 _rng = np.random.RandomState(5)
 _MUL = (_rng.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -173,7 +175,8 @@ def similar(sketch_a: Column, sketch_b: Column, n_a: Column, n_b: Column) -> Col
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Confirm candidate pairs (a, b) on the whole texts of both."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+    wanted, _ = broadcast_if_small(wanted)  # so that the other texts need no shuffle
     rows = texts.join(wanted, "id", "left_semi")
     both = pairs.join(rows.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         rows.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
@@ -181,6 +184,13 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a bigint, b bigint")
 
 
+def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links."""
+    if links.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
@@ -197,29 +207,44 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch")
     )
     reps = stage(reps, "classes")
-
-    banded = reps.select("id", F.explode("bands").alias("band"))
-    centres = banded.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = banded.join(centres.select("band", "a"), "band").where("id <> a")
     sketches = reps.select("id", "n", "sketch")
     left = sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     right = sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     within = similar(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"))
-    pairs = stars.select("a", F.col("id").alias("b")).distinct()
-    pairs = pairs.join(right, "b").join(left, "a").where(within).select("a", "b").distinct()
-    star_links = stage(_links(stage(pairs, "candidates"), rows), "star-links")
-    roots = components(star_links)
-
-    # members of one band that are still in different components
-    rooted = reps.join(roots, F.col("id") == F.col("node"), "left").select(
-        "id", F.coalesce("root", "id").alias("root"), "bands"
-    )
-    rooted = rooted.select("id", "root", F.explode("bands").alias("band"))
-    open_bands = (
-        rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    )
-    rest = rooted.join(open_bands.select("band"), "band", "left_semi").join(sketches, "id")
-    rest = stage(rest.select("band", "id", "root", "n", "sketch"), "open-bands")
+
+    def sifted(pairs: DataFrame) -> DataFrame:
+        """Candidates (a, b) whose sizes and sketches leave the threshold within reach."""
+        met = pairs.join(right, "b").join(left, "a").where(within)
+        return stage(met.select("a", "b").distinct(), "candidates")
+
+    # one pair for each class: with the smallest class that it meets as a band's smallest
+    banded = reps.select("id", F.explode("bands").alias("band"))
+    centres = banded.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
+    stars = banded.join(centres.select("band", "a"), "band").where("id <> a")
+    tested = sifted(stars.groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).select("a", "b"))
+    roots = components(stage(_links(tested, rows), "links"))
+
+    def open_members() -> DataFrame:
+        """(band, id, root) of the bands whose members lie in several components."""
+        rooted = reps.join(roots, F.col("id") == F.col("node"), "left").select(
+            "id", F.coalesce("root", "id").alias("root"), F.explode("bands").alias("band")
+        )
+        several = (
+            rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        )
+        return stage(rooted.join(several.select("band"), "band", "left_semi"), "open-bands")
+
+    # members not in the component of their band's smallest: a pair with each such smallest
+    rest = open_members()
+    first = rest.groupBy("band").agg(F.min(F.struct("id", "root")).alias("first"))
+    stars = rest.join(first, "band").where("root <> first.root")
+    pairs = stars.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = sifted(pairs.join(tested, ["a", "b"], "left_anti"))
+    tested = tested.union(pairs)
+    roots = _grown(roots, stage(_links(pairs, rows), "links"))
+
+    # members of one band that are still in different components, each with each
+    rest = stage(open_members().join(sketches, "id"), "open-bands")
     one = rest.select("band", *(F.col(c).alias(f"{c}_a") for c in ("id", "root", "n", "sketch")))
     two = rest.select("band", *(F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "sketch")))
     across = one.join(two, "band").where(
@@ -228,10 +253,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         & similar(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b"))
     )
     across = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-    across = stage(across.join(pairs, ["a", "b"], "left_anti"), "candidates")
-    more = stage(_links(across, rows), "links")
-    if not more.isEmpty():
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    across = stage(across.join(tested, ["a", "b"], "left_anti"), "candidates")
+    roots = _grown(roots, stage(_links(across, rows), "links"))
 
     # one doc_id that carries several sets joins their classes
     split = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
