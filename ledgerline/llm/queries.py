@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, language, near_dup, secrets, sharding, warc
+from ledgerline.llm import bpe, decontaminate, language, near_dup, pu_quality, rules, secrets, sharding, token_counts, warc
 from ledgerline.session import apply_scale_conf
 
 
@@ -41,6 +41,45 @@ def op2_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after three edits a document: a cut at a quarter, a note in the middle, a new end."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n = F.coalesce(F.length("text"), F.lit(0))
+
+    def change(start, stop, text: str):
+        return F.struct(
+            start.cast("long").alias("start"), stop.cast("long").alias("stop"), F.lit(text).alias("text")
+        )
+
+    edits = F.array(
+        change(F.floor(n / 4), F.floor(n / 4) + 12, ""),
+        change(F.floor(n / 2), F.floor(n / 2), " (see note 42)\n"),
+        change(n - 3, n + 3, "the end."),
+    )
+    built = token_counts.build(docs.withColumn("edits", edits)).withColumnRenamed("n_tokens", "n_tokens_before")
+    found = token_counts.edit(built, F.col("edits"))
+    return found.select(
+        "doc_id",
+        "n_tokens_before",
+        F.col("n_tokens").alias("n_tokens_after"),
+        "n_reencoded",
+        F.length("text").cast("long").alias("n_chars_after"),
+    )
+
+
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = language.fold(n=5) != 0
+    model = pu_quality.fit(docs.where(learn), table(spark, sf_dir, "labels").where(learn))
+    found = pu_quality.score(docs, model)
+    return found.select(
+        "doc_id",
+        (language.fold(n=5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -67,6 +106,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = rules.fit(docs, table(spark, sf_dir, "labels"))
+    return rules.judge(docs, model).drop("text")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.RANKS)
 
@@ -81,9 +126,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": op1_histogram_shards,
     "op2_warc_normaliser": op2_warc_normaliser,
+    "op3_token_counts": op3_token_counts,
+    "op4_pu_quality": op4_pu_quality,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontaminate": op6_decontaminate,
     "op7_secret_scan": op7_secret_scan,
+    "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_id": op10_language_id,
 }
