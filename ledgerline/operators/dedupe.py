@@ -12,6 +12,7 @@ deterministic even on ties of the ordering columns.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +25,14 @@ def dedupe_latest(
     keys: Sequence[str],
     order: Sequence[str] = DEFAULT_ORDER,
     on_duplicate: str = "latest",
+    null_keys: str = "group",
 ) -> DataFrame:
     """One row per ``keys``: the greatest by ``order`` (then by all other columns).
 
     ``on_duplicate``: ``"latest"`` keeps the latest row, ``"error"`` fails the
     job when a key has more than one row, ``"keep"`` returns ``df`` unchanged.
+    ``null_keys``: ``"group"`` treats NULL as a value; ``"keep"`` keeps every row
+    with a NULL key column, as in a merge on ``=`` where such rows match nothing.
     Column order of ``df`` is preserved.
     """
     if on_duplicate == "keep":
@@ -36,6 +40,10 @@ def dedupe_latest(
     if on_duplicate not in ("latest", "error"):
         raise ValueError(f"on_duplicate must be latest, error or keep, got {on_duplicate!r}")
     keys = list(keys)
+    if null_keys == "keep":
+        unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        found = dedupe_latest(df.filter(~unmatched), keys, order, on_duplicate)
+        return found.unionByName(df.filter(unmatched))
     order_cols = [c for c in order if c in df.columns and c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],

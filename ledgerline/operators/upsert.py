@@ -82,9 +82,14 @@ def upsert(
     on_duplicate: str = "latest",
     order: Sequence[str] = DEFAULT_ORDER,
     release_staging: bool = True,
+    matched: str = "source",
 ) -> dict:
     """Merge ``source`` into the partitioned Parquet table at ``target_path``.
 
+    A matched row takes the source (``matched="source"``, the literal merge) or
+    the greater of both rows by ``order`` (``matched="newest"``: the result then
+    does not depend on how the input was cut into merges).
+
     An absent or empty target is a first load (plain partitioned write).
     Returns small bookkeeping counts (touched partitions, source rows) and,
     under ``"touched"``, a DataFrame of the partition values written.  With
@@ -94,7 +99,8 @@ def upsert(
     spark = source.sparkSession
     keys, partitions = list(keys), list(partitions)
     columns = source.columns
-    src, src_path = stage_at(dedupe_latest(source, keys, order, on_duplicate), "upsert-source")
+    null_keys = "group" if null_safe else "keep"
+    src, src_path = stage_at(dedupe_latest(source, keys, order, on_duplicate, null_keys), "upsert-source")
     staged = [src_path]
 
     # At most LITERAL_PRUNE_MAX + 1 partition keys reach the driver; above
@@ -130,6 +136,12 @@ def upsert(
             bc.alias("_t"), [target[p].eqNullSafe(F.col(f"_t.{p}")) for p in partitions], "left_semi"
         )
 
+    if matched == "newest":
+        both = in_touched.unionByName(src.select(*columns))
+        merged, merged_path = stage_at(dedupe_latest(both, keys, order, "latest", null_keys), "upsert-merged")
+        staged.append(merged_path)
+        write_partitioned(merged, target_path, partitions, "overwrite")
+        return done({"touched_partitions": n_touched, "source_rows": src.count(), "first_load": 0})
     src_keys, n_src = broadcast_if_small(src.select(*keys))
     src_keys = src_keys.alias("_s")
     match = [

@@ -16,12 +16,17 @@ from ledgerline.functions.calendar import period_label
 from ledgerline.schemas import COST_PRODUCTS, PROVIDERS
 
 
-def monthly_cost_pivot(trend: DataFrame, products: Sequence[str] = COST_PRODUCTS) -> DataFrame:
+def monthly_cost_pivot(trend: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
     """Period x product cost matrix (sum, missing cells 0), by period.
 
-    The pivot values are given, so Spark does not run a separate job to find
-    them and the output schema is stable.
+    Without ``products`` the columns are the named products (always, so that
+    their order is stable) and then every other product present in the trend,
+    found by a distinct over that small monthly table.
     """
+    if products is None:
+        present = trend.filter((F.col("cost_usd") > 0) & F.col("product").isNotNull())
+        others = present.filter(~F.col("product").isin(*COST_PRODUCTS)).select("product").distinct()
+        products = [*COST_PRODUCTS, *sorted(r["product"] for r in others.collect())]
     return (
         trend.filter(F.col("cost_usd") > 0)
         .select(period_label(F.col("year"), F.col("month")).alias("period"), "product", "cost_usd")

@@ -68,12 +68,21 @@ def _context(spark: SparkSession):
         return None
 
 
+def _local_folder(master: str) -> str:
+    """A folder of our own, for local tests only; a cluster must name a shared one."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if none is named."""
     sc = _context(spark)
     if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -81,8 +90,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Unset: local tests only.  A cluster must name a shared folder.
-        configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        configured = _local_folder(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

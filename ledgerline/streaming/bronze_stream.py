@@ -11,12 +11,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.bronze import unify
 from ledgerline.schemas import BRONZE_PARTITIONS, BRONZE_SCHEMA, LANDING_SCHEMA
 from ledgerline.session import path_exists
 from ledgerline.sources.landing import product_path, with_landing_columns
 
+# The file source skips files older than this against the newest one it has
+# seen; the default of a week loses late or time-preserving copies silently.
+MAX_FILE_AGE = "36500d"
+
+
+def finish(query: StreamingQuery, timeout_s: float | None) -> None:
+    """Wait for the end of an availableNow query; a timeout is an error, not an end."""
+    ended = query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
+    if timeout_s is not None and not ended:
+        query.stop()
+        raise TimeoutError(f"stream did not finish within {timeout_s} s; part of the input is not processed")
+    if query.exception() is not None:
+        raise query.exception()
 
 
 def landing_stream(
@@ -27,6 +41,7 @@ def landing_stream(
         spark.readStream.schema(LANDING_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
+        .option("maxFileAge", MAX_FILE_AGE)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -67,11 +82,7 @@ def ingest(
         .trigger(availableNow=True)
     )
     query = writer.toTable(table) if table else writer.start(bronze_path)
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-    if query.exception() is not None:
-        raise query.exception()
+    finish(query, timeout_s)
     return query.lastProgress or {}
 
 

