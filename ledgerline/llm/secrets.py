@@ -163,7 +163,10 @@ def samples_from(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
         | (body.contains("=") | body.contains(":")) & body.rlike(ASSIGN)
         | body.rlike(HEX)
     )
-    rows = rows.where(some).orderBy("h", F.length("text")).limit(SAMPLE_DOCS)
+    rows = rows.where(some)
+    # the hash of the last row to take; only hashes are gathered, not texts
+    last = rows.select("h").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    rows = rows.where(F.col("h") <= F.lit(0 if last is None else last))
     rows = rows.select("text", base_spans(F.col("text")).alias("spans"))
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     value = F.transform(
