@@ -143,7 +143,8 @@ def _counter(ranks: dict[bytes, int]):
     encoding = tiktoken.Encoding(
         "counts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
-    return lambda parts: [len(ids) for ids in encoding.encode_ordinary_batch(parts, num_threads=1)]
+    encode = encoding.encode_ordinary
+    return lambda parts: [len(encode(p)) for p in parts]
 
 
 TREE = "struct<chars:array<bigint>,tokens:array<bigint>>"
