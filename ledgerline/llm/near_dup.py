@@ -7,9 +7,9 @@ no word: the empty set, linked with nothing).  Documents are linked when
 
 1. One pass over whole texts gives each document its set size, a 128-bit set
    checksum, ``BANDS`` hashes of ``ROWS`` MinHash values each, and an odd
-   sketch: every MinHash sample (function, value) flips one bit of a
-   ``SKETCH_BITS`` bitmap, so the XOR of two sketches counts the samples in
-   which two documents differ.
+   sketch: each of ``SAMPLES`` MinHash samples (function, value) flips one bit
+   of a ``SKETCH_BITS`` bitmap, so the XOR of two sketches counts the samples
+   in which two documents differ.
 2. Equal sets become one class, held by its smallest doc_id (a grouped minimum).
 3. Classes that share a band meet at the band's smallest member (a star, not all
    pairs); each class starts with one such pair.  A pair goes on if its sizes can
@@ -19,9 +19,10 @@ no word: the empty set, linked with nothing).  Documents are linked when
 4. In bands whose members still lie in different components, members outside the
    component of the band's smallest are paired with it, in the same way.
 5. In bands that are still divided, members of different components are compared
-   each with each, with the sketch test inside the join.  So a band costs its
-   square only in members that are *not* near-duplicates of one another, and no
-   link between documents that share a band is lost to the stars.
+   each with each, with the sketch test inside the join; a pair counts in the
+   first band that it shares only.  So a band costs its square only in members
+   that are *not* near-duplicates of one another, and no link between documents
+   that share a band is lost to the stars.
 
 A pair of similarity 0.75 shares none of 32 bands of 4 with probability
 (1 - 0.75**4)**32 = 5e-6; the sketch bound lies four standard deviations above
@@ -48,14 +49,15 @@ from ledgerline.operators.staging import broadcast_if_small, stage
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
-SKETCH_BITS = 512
-# Differing samples d of k = 128 give an expected XOR count of B/2 * (1 - exp(-4 d / B)):
-# 56.6 at similarity 0.75 (d = 32), with a standard deviation of about 10 over both draws.
-MAX_XOR = 97
+SAMPLES, SKETCH_BITS = 1024, 2048
+# Differing samples d of k = 1,024 give an expected XOR count of B/2 * (1 - exp(-4 d / B)):
+# 403 at similarity 0.75 (d = 256), with a standard deviation of about 20.4 over both draws.
+MAX_XOR = 485
+SKETCH_ROWS = 256  # documents folded at once
 
 _rng = np.random.RandomState(5)
-_MUL = (_rng.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
-_XOR = _rng.randint(0, 1 << 32, BANDS * ROWS, dtype=np.int64).astype(np.uint32)
+_MUL = (_rng.randint(0, 1 << 31, SAMPLES).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
+_XOR = _rng.randint(0, 1 << 32, SAMPLES, dtype=np.int64).astype(np.uint32)
 
 SIGNATURE = (
     "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
@@ -76,12 +78,15 @@ def min_hashes(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
 def odd_sketches(minima: np.ndarray) -> np.ndarray:
     """Fold each column of MinHash values into a parity bitmap (one row of 64-bit words each)."""
     n = minima.shape[1]
-    out = np.zeros((n, SKETCH_BITS // 64), np.uint64)
-    at = np.arange(n)
-    for i, values in enumerate(minima):
-        h = mix(values.astype(np.uint64) + np.uint64((i + 1) << 32))
-        bit = h % np.uint64(SKETCH_BITS)
-        out[at, (bit >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (bit & np.uint64(63))
+    out = np.empty((n, SKETCH_BITS // 64), np.uint64)
+    function = np.arange(1, len(minima) + 1, dtype=np.uint64) << np.uint64(32)
+    for at in range(0, n, SKETCH_ROWS):
+        values = minima[:, at : at + SKETCH_ROWS].T
+        cell = (mix(values + function) % np.uint64(SKETCH_BITS)).astype(np.int64)
+        cell += np.arange(len(values))[:, None] * SKETCH_BITS
+        odd = np.bincount(cell.ravel(), minlength=len(values) * SKETCH_BITS) & 1
+        packed = np.packbits(odd.astype(np.uint8), bitorder="little")
+        out[at : at + SKETCH_ROWS] = packed.view(np.uint64).reshape(len(values), -1)
     return out
 
 
@@ -214,7 +219,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
     def sifted(pairs: DataFrame) -> DataFrame:
         """Candidates (a, b) whose sizes and sketches leave the threshold within reach."""
-        met = pairs.join(right, "b").join(left, "a").where(within)
+        pairs = stage(pairs, "met")
+        wanted = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+        wanted, _ = broadcast_if_small(wanted)  # so that the other sketches need no shuffle
+        some_a = left.join(wanted.withColumnRenamed("id", "a"), "a", "left_semi")
+        some_b = right.join(wanted.withColumnRenamed("id", "b"), "b", "left_semi")
+        met = pairs.join(some_b, "b").join(some_a, "a").where(within)
         return stage(met.select("a", "b").distinct(), "candidates")
 
     # one pair for each class: with the smallest class that it meets as a band's smallest
@@ -227,7 +237,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     def open_members() -> DataFrame:
         """(band, id, root) of the bands whose members lie in several components."""
         rooted = reps.join(roots, F.col("id") == F.col("node"), "left").select(
-            "id", F.coalesce("root", "id").alias("root"), F.explode("bands").alias("band")
+            "id", F.coalesce("root", "id").alias("root"), F.posexplode("bands").alias("at", "band")
         )
         several = (
             rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
@@ -244,13 +254,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     roots = _grown(roots, stage(_links(pairs, rows), "links"))
 
     # members of one band that are still in different components, each with each
-    rest = stage(open_members().join(sketches, "id"), "open-bands")
-    one = rest.select("band", *(F.col(c).alias(f"{c}_a") for c in ("id", "root", "n", "sketch")))
-    two = rest.select("band", *(F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "sketch")))
+    rest = stage(open_members().join(reps, "id"), "open-bands")
+    side = ("id", "root", "n", "sketch", "bands")
+    one = rest.select("band", "at", *(F.col(c).alias(f"{c}_a") for c in side))
+    two = rest.select("band", *(F.col(c).alias(f"{c}_b") for c in side))
+    shared = F.zip_with("bands_a", "bands_b", lambda x, y: x == y)
     across = one.join(two, "band").where(
         (F.col("id_a") < F.col("id_b"))
         & (F.col("root_a") != F.col("root_b"))
         & similar(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b"))
+        & (F.array_position(shared, F.lit(True)) == F.col("at") + 1)
     )
     across = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     across = stage(across.join(tested, ["a", "b"], "left_anti"), "candidates")
