@@ -204,6 +204,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     sets = signed.where("n_shingles > 0 and doc_id is not null")
     same = ["set_a", "set_b", "n_shingles"]
     classes = sets.groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    classes = stage(classes, "class-keys")  # read from files, so that the join below can split a hot class
     member = sets.select("doc_id", *same).join(classes, same).select("doc_id", "rep").distinct()
     member = stage(member, "members")
     reps = (
