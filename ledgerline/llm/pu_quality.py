@@ -12,8 +12,8 @@ correction).  The class prior is estimated first: a plain classifier of
 positives against unlabelled text ranks held-back rows, and the prior is the
 least ratio of the unlabelled to the positive share above a threshold.
 
-Fitting uses about ``SAMPLE`` documents chosen by hash; scoring reads every
-whole text in Arrow batches, map-only.
+Fitting uses up to ``SAMPLE`` positives and as many unlabelled documents, each
+chosen by hash; scoring reads every whole text in Arrow batches, map-only.
 
 Defined results: null and empty texts are scored like any other (all counts
 0); without positives or unlabelled text every score is the prior ``0.5``;
@@ -105,8 +105,8 @@ def fit_arrays(pos: np.ndarray, unl: np.ndarray) -> Model:
 def fit(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text", key: str = "doc_id"
 ) -> Model:
-    """Fit from trusted positives (quality 1) and unlabelled documents of a bounded sample."""
-    rows = labelled_sample(docs, labels, sample, text, key).where("quality is null or quality = 1")
+    """Fit from ``sample`` trusted positives (quality 1) and ``sample`` unlabelled documents."""
+    rows = labelled_sample(docs, labels, sample, text, key, ("quality = 1", "quality is null"))
     ship(docs.sparkSession)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,13 +116,15 @@ def fit(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(1).slice(run.first, run.n_rows),
+                        batch.column(2).slice(run.first, run.n_rows),
                         pa.array([r.tobytes() for r in x], pa.binary()),
                     ],
-                    names=["good", "x"],
+                    names=["draw", "good", "x"],
                 )
 
-    found = rows.selectExpr(text, "quality is not null as good").mapInArrow(features, "good boolean, x binary")
-    table = found.orderBy("x").toArrow()  # about ``sample`` short rows
+    rows = rows.selectExpr(text, "draw", "quality is not null as good")
+    found = rows.mapInArrow(features, "draw bigint, good boolean, x binary").distinct()
+    table = found.orderBy("x", "draw").toArrow()  # at most twice ``sample`` short rows
     x = [np.frombuffer(b, np.float32) for b in table["x"].to_pylist()]
     good = np.array(table["good"].to_pylist(), bool)
     if not x:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.text import Run, Words, mix, window_hashes, words
+from ledgerline.operators.staging import stage
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -156,17 +157,30 @@ def shape(run: Run) -> np.ndarray:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, bound: int, text: str = "text", key: str = "doc_id"
+    docs: DataFrame,
+    labels: DataFrame,
+    bound: int,
+    text: str = "text",
+    key: str = "doc_id",
+    kinds: tuple[str, ...] = ("quality is not null",),
 ) -> DataFrame:
-    """(key, text, quality) of about ``bound`` documents chosen by hash; quality is null without a label.
+    """(draw, text, quality) of the rows of ``docs`` with the least hashes, ``bound`` of each kind.
 
-    Repeated labels of one key count as their least.
+    A kind is a condition on ``quality``, which is null without a label, so the
+    number of rows of one kind does not depend on how many there are of another.
+    ``draw`` hashes key and text: rows that repeat both have one draw, are chosen
+    together and count once.  Repeated labels of one key count as their least.
     """
-    share = min(1.0, bound / max(1, docs.count()))
-    chosen = F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000)
-    marks = labels.select(key, "quality").where(chosen).where("quality is not null")
+    draw = F.xxhash64(key, text).alias("draw")
+    marks = labels.select(key, "quality").where("quality is not null")
     marks = marks.groupBy(key).agg(F.min("quality").alias("quality"))
-    return docs.select(key, text).where(chosen).join(marks, key, "left")
+    marked = docs.select(key, draw).join(marks, key, "left").select("draw", "quality")
+    parts = [marked.where(kind).distinct().orderBy("draw").limit(bound) for kind in kinds]
+    chosen = parts[0]
+    for part in parts[1:]:
+        chosen = chosen.union(part)
+    chosen = F.broadcast(stage(chosen, "sample"))  # at most ``bound`` short rows of each kind
+    return docs.select(draw, text).join(chosen, "draw")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -6,8 +6,8 @@ over hashed word and character n-grams (words, and runs of four bytes, each
 into ``WIDTH`` weights), trained on labelled quality rows, calibrated on rows
 that the weights have not seen, scored in Arrow batches against ``KEEP``.
 
-Fitting uses about ``SAMPLE`` documents chosen by hash, of which the labelled
-ones count; scoring reads every whole text.
+Fitting uses up to ``SAMPLE`` labelled documents chosen by hash, however many
+documents have no label; scoring reads every whole text.
 
 Defined results: null text is an empty text (fails); without labels of both
 kinds the model keeps what the counts keep; rows are kept one for one.
@@ -97,8 +97,10 @@ def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit_arrays(x: np.ndarray, y: np.ndarray) -> Model:
-    """Weights from four fifths of the rows, calibration from the others."""
-    held = np.arange(len(y)) % 5 == 0
+    """Weights from four fifths of the rows of each kind, calibration from the others."""
+    held = np.zeros(len(y), bool)
+    for kind in (y > 0, y <= 0):
+        held[np.flatnonzero(kind)[::5]] = True
     if min(y[held].sum(), (1 - y[held]).sum(), y[~held].sum(), (1 - y[~held]).sum()) < 1:
         return Model(np.zeros(2 * WIDTH, np.float32), 1.0, 30.0)
     w = _logistic(x[~held], y[~held], DECAY, STEPS, RATE)
@@ -108,9 +110,9 @@ def fit_arrays(x: np.ndarray, y: np.ndarray) -> Model:
 def fit(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "text", key: str = "doc_id"
 ) -> Model:
-    """Fit from the labelled rows of a bounded sample."""
+    """Fit from a bounded sample of the labelled rows."""
     ship(docs.sparkSession)
-    rows = labelled_sample(docs, labels, sample, text, key).where("quality is not null")
+    rows = labelled_sample(docs, labels, sample, text, key)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,13 +121,15 @@ def fit(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(1).slice(run.first, run.n_rows),
+                        batch.column(2).slice(run.first, run.n_rows),
                         pa.array([r.tobytes() for r in x], pa.binary()),
                     ],
-                    names=["quality", "x"],
+                    names=["draw", "quality", "x"],
                 )
 
-    found = rows.selectExpr(text, "cast(quality as int) as quality")
-    table = found.mapInArrow(vectors, "quality int, x binary").toArrow()  # under ``sample`` rows of 4 KB
+    rows = rows.selectExpr(text, "draw", "cast(quality as int) as quality")
+    found = rows.mapInArrow(vectors, "draw bigint, quality int, x binary").distinct()
+    table = found.toArrow()  # at most ``sample`` rows of 4 KB
     pairs = sorted(zip(table["x"].to_pylist(), table["quality"].to_pylist(), strict=True))
     if not pairs:
         return fit_arrays(np.zeros((0, 2 * WIDTH), np.float32), np.zeros(0))

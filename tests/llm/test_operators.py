@@ -21,6 +21,7 @@ from ledgerline.llm import (
     language,
     near_dup,
     pu_quality,
+    quality,
     queries,
     rules,
     secrets,
@@ -257,6 +258,33 @@ def test_pu_without_labels(spark, docs):
     assert {r.score for r in scores} == {0.5}
 
 
+@pytest.fixture(scope="module")
+def sparse(spark):
+    """6,000 documents, every other one junk, of which 40 of each kind are labelled; one of them 3,000 times more."""
+    rows = []
+    for i in range(6000):
+        n = np.random.RandomState(i).randint(0, 400, 70)
+        rows.append((i, " ".join(f"$$#{k}% !!" if i % 2 else f"plain{k} word," for k in n)))
+    docs = spark.createDataFrame(rows + rows[:1] * 3000, "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, 1 - i % 2) for i in range(80)], "doc_id long, quality int")
+
+
+def test_sample_bounds_the_labelled_rows(sparse):
+    docs, labels = sparse
+    rows = quality.labelled_sample(docs, labels, 60).where("quality is not null").select("text").distinct().collect()
+    assert len(rows) == 60
+
+
+def test_few_labels_among_many_documents(sparse):
+    docs, labels = sparse
+    kept = rules.judge(docs, rules.fit(docs, labels, 100)).where("doc_id >= 80 and not base_failed")
+    by_kind = {r[0]: r[1] for r in kept.groupBy(F.col("doc_id") % 2).agg(F.avg(F.col("kept").cast("int"))).collect()}
+    assert by_kind[0] > 0.95 and by_kind[1] < 0.05
+    scores = pu_quality.score(docs, pu_quality.fit(docs, labels, 100)).where("doc_id >= 80")
+    by_kind = {r[0]: r[1] for r in scores.groupBy(F.col("doc_id") % 2).agg(F.avg((F.col("score") >= 0.3).cast("int"))).collect()}
+    assert by_kind[0] > 0.8 and by_kind[1] < 0.05  # 40 positives and 100 unlabelled rows for 36 features
+
+
 def test_pipeline_stages(spark, docs, tmp_dir):
     item = BASE[:200]
     docs.write.parquet(f"{tmp_dir}/documents.parquet")
