@@ -9,15 +9,17 @@ starts from files (lost executors cost tasks, not stages).
   language       documents without a recognised language (null text, no
                  letters) go; the language models learn from the rows the
                  stage gets, as op10 does
-  near_dup       of each group of near-duplicates the smallest doc_id stays
+  near_dup       of each group of near-duplicates the smallest doc_id stays (a
+                 null doc_id comes last); rows that repeat its doc_id and its
+                 text are the same document and stay with it
   benchmark      documents that hold a benchmark item (within its edit budget) go
   secrets        no document goes; secrets are masked in the text and n_chars
                  follows the new text
   tokens         one row per document: token count, digest of its ids, digest
                  of the bytes decoded from them
 
-Rows whose doc_id is null pass the filters on their own merits; an empty table
-gives an empty result.  The stages are not expressible in SQL, so
+Every row passes the filters on its own text, also when its doc_id is null or
+repeated; an empty table gives an empty result.  The stages are not expressible in SQL, so
 ``ORACLE_SQL`` is None and tests compare ``run`` with a brute-force version.
 """
 

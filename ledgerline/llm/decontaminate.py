@@ -26,11 +26,13 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.text import Run, chunks, folded
 from ledgerline.llm.workers import ship
+from ledgerline.operators.staging import release, stage_at
 
 BYTES_PER_EDIT = 20
 MIN_BYTES = 20
@@ -177,6 +179,21 @@ def _fold_items(items: list[tuple[int, str]]) -> list[tuple[int, bytes]]:
     return out
 
 
+def _blocks(items: DataFrame, item_text: str, item_key: str) -> list[DataFrame]:
+    """The distinct test items (i, t) in hashed blocks of about ``BLOCK_BYTES``, whatever their number."""
+    tests = items.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t"))
+    tests = tests.where("t is not null").distinct()
+    size = tests.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    return [tests.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block) for block in range(blocks)]
+
+
+def _hold(part: DataFrame) -> Broadcast:
+    """The folded items of one block, in every worker."""
+    folds = _fold_items([(r["i"], r["t"]) for r in part.collect()])
+    return part.sparkSession.sparkContext.broadcast(folds)
+
+
 def find_items(
     docs: DataFrame,
     items: DataFrame,
@@ -192,16 +209,10 @@ def find_items(
     """
     spark = docs.sparkSession
     ship(spark)
-    tests = items.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t"))
-    tests = tests.where("t is not null").distinct()
-    size = tests.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_BYTES))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
-    def one_pass(block: int) -> DataFrame:
-        # a hashed block of the test items: about BLOCK_BYTES, whatever their number
-        part = tests.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block)
-        held = spark.sparkContext.broadcast(_fold_items([(r["i"], r["t"]) for r in part.collect()]))
+    def one_pass(part: DataFrame) -> DataFrame:
+        held = _hold(part)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(held.value)
@@ -223,15 +234,46 @@ def find_items(
 
         return rows.mapInArrow(search, HITS)
 
-    out = one_pass(0)
-    for block in range(1, blocks):
-        out = out.union(one_pass(block))
+    first, *others = _blocks(items, item_text, item_key)
+    out = one_pass(first)
+    for part in others:
+        out = out.union(one_pass(part))
     return out
 
 
 def drop_leaks(
-    docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **kw: str
+    docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id"
 ) -> DataFrame:
-    """``docs`` without the documents in which a test item occurs."""
-    gone = find_items(docs, items, text, key, **kw).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[key] == gone["__gone"], "left_anti")
+    """``docs`` without the rows in which a test item occurs.
+
+    Each row goes or stays by its own text, whatever its id.  Every block of
+    items filters what the block before it left, staged in between, so that a
+    worker holds one automaton.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    at = docs.columns.index(text)
+
+    def one_pass(rows: DataFrame, part: DataFrame) -> DataFrame:
+        held = _hold(part)
+
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(held.value)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for run in chunks(batch.column(at)):
+                    for found in matcher.search(run):
+                        keep[run.first + found[0]] = False
+                yield batch.filter(pa.array(keep))
+
+        return rows.mapInArrow(clean, docs.schema)
+
+    first, *others = _blocks(items, item_text, item_key)
+    left, path = one_pass(docs, first), None
+    for part in others:
+        read = path
+        left, path = stage_at(left, "clean")
+        if read:
+            release(spark, read)
+        left = one_pass(left, part)
+    return left

@@ -30,7 +30,8 @@ the mean count at 0.75.
 
 Defined results: null text is an empty text; null doc_id rows are kept, linked
 with nothing (component null); rows that repeat a doc_id are one node; extra
-columns are ignored by ``near_duplicates`` and kept by ``keep_one``.
+columns are ignored by ``near_duplicates`` and kept by ``keep_one``, which takes
+rows as nodes instead of ids.
 """
 
 from __future__ import annotations
@@ -292,7 +293,24 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose doc_id is not its group's smallest."""
-    found = near_duplicates(docs, text, key)
-    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[key] == gone["__gone"], "left_anti")
+    """``docs`` with one document of each group of near-duplicate texts.
+
+    Every row takes part by its own text, whatever its key: rows of one key may
+    be in different groups, and rows without a key are in groups like others.
+    The smallest key of a group stays (no key comes last; of one key's texts, the
+    one of the smallest hash).  Rows that repeat both its key and its text are
+    the same document and stay with it.
+    """
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # row ids from files
+    found = near_duplicates(rows, text, "__row").where("n_shingles > 0")
+    named = rows.select("__row", F.col(key).alias("__key"), F.xxhash64(text).alias("__hash"))
+    placed = found.select(F.col("doc_id").alias("__row"), "component_id").join(named, "__row")
+    placed = stage(placed, "placed")
+    first = F.min(F.struct(F.isnull("__key").alias("none"), "__key", "__hash", "__row")).alias("first")
+    groups = placed.groupBy("component_id").agg(first, F.count("*").alias("n")).where("n > 1")
+    groups = stage(groups.select("component_id", "first"), "groups")  # files, so that AQE splits a hot group
+    same = (F.col("__key") == F.col("first.__key")) & (F.col("__hash") == F.col("first.__hash"))
+    stays = (F.col("__row") == F.col("first.__row")) | F.coalesce(same, F.lit(False))
+    gone = stage(placed.join(groups, "component_id").where(~stays).select("__row"), "gone")
+    gone, _ = broadcast_if_small(gone)  # so that the texts need no shuffle
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)

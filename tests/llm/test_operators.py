@@ -285,6 +285,27 @@ def test_few_labels_among_many_documents(sparse):
     assert by_kind[0] > 0.8 and by_kind[1] < 0.05  # 40 positives and 100 unlabelled rows for 36 features
 
 
+def test_rows_stay_or_go_by_their_own_text(spark, monkeypatch):
+    item = "The quick brown fox, having jumped over the lazy dog, ran across nine wet meadows to the mill."
+    other = " ".join(f"gamma{i} delta{i}" for i in range(40))
+    rows = [
+        (0, None, "leak " + item), (1, 7, " ".join(f"eta{i}" for i in range(40)) + " " + item), (2, 7, "clean text under the same id"),
+        (3, 8, BASE), (4, None, BASE), (5, 3, other), (6, 8, other), (7, 8, "a third text of one id, unlike the others"),
+        (8, None, "copy without any id"), (9, None, "copy without any id"), (10, 9, None), (11, None, ""),
+    ]
+    df = spark.createDataFrame(rows, "n int, doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, "never seen in any of the rows above")], "item_id long, text string")
+
+    def left(found):
+        assert found.columns == df.columns
+        return sorted(r.n for r in found.select("n").collect())
+
+    assert left(decontaminate.drop_leaks(df, items)) == [2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+    assert left(near_dup.keep_one(df)) in ([0, 1, 2, 3, 5, 7, n, 10, 11] for n in (8, 9))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 16)  # several blocks, each a pass
+    assert left(decontaminate.drop_leaks(df, items)) == [2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+
+
 def test_pipeline_stages(spark, docs, tmp_dir):
     item = BASE[:200]
     docs.write.parquet(f"{tmp_dir}/documents.parquet")
