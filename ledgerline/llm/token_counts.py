@@ -7,8 +7,8 @@ tree of (characters, tokens) over its leaves, in heap order: node ``i`` sums
 nodes ``2i`` and ``2i + 1``, node 1 is the document.
 
 An edit replaces characters ``[start, stop)``.  The leaves it touches are found
-by descending the tree by character sums; those leaves and one leaf on either
-side (the boundary context, so that the outer cuts stay between untouched
+by descending the tree by character sums; those leaves and the next leaf with
+text on either side (the boundary context, so that the outer cuts stay between untouched
 characters) are re-encoded, dealt over the same leaf slots, and only the sums on
 the paths to the root change.  A document whose leaf has outgrown ``8 * LEAF``
 is rebuilt.
@@ -98,6 +98,13 @@ class Tree:
             i //= 2
         return first
 
+    def context(self, slot: int, step: int) -> int:
+        """The next slot in a direction that holds text, else the one next to ``slot``."""
+        at = slot + step
+        while 0 <= at < self.size and not self.chars[at + self.size]:
+            at += step
+        return at if 0 <= at < self.size else min(max(0, slot + step), self.size - 1)
+
     def put(self, slot: int, parts: list[str], count) -> None:
         """Replace consecutive leaves and update the sums above them."""
         for k, tokens in enumerate(count(parts)):
@@ -127,7 +134,7 @@ def edited(text: str, tree: Tree, start: int, stop: int, new: str, count) -> tup
     stop = min(max(start, stop), len(text))
     low, _ = tree.leaf_at(start)
     high, _ = tree.leaf_at(max(start, stop - 1))
-    low, high = max(0, low - 1), min(tree.size - 1, high + 1)
+    low, high = tree.context(low, -1), tree.context(high, 1)
     first = tree.start_of(low)
     after = tree.start_of(high) + tree.chars[high + tree.size]
     region = text[first:start] + new + text[stop:after]

@@ -164,6 +164,20 @@ def test_token_counts_follow_edits(docs):
     assert all(r.n_tokens == len(enc.encode_ordinary(r.text)) for r in after)
 
 
+def test_edit_sequences_on_texts_with_few_blanks():
+    count = token_counts._counter(bpe.read_ranks(token_counts.RANKS))
+    for seed in range(60):
+        rng = np.random.RandomState(seed)
+        text = " ".join("".join(rng.choice(list("abthe1.n"), 150)) for _ in range(12))
+        tree = token_counts.Tree.build(token_counts.leaves(text), count)
+        for _ in range(40):
+            blanks = [i for i, c in enumerate(text) if c == " "]
+            start = blanks[rng.randint(len(blanks))] if blanks and rng.rand() < 0.7 else rng.randint(len(text) + 1)
+            new = ("", "x", " the", "  ", "a b")[rng.randint(5)]
+            text, tree, _ = token_counts.edited(text, tree, start, start + rng.randint(3), new, count)
+            assert tree.chars[1] == len(text) and tree.tokens[1] == count([text])[0]
+
+
 def test_byte_bpe_equals_library(docs):
     enc = encoding(bpe.RANKS)
     got = collections.Counter(tuple(r) for r in bpe.digests(docs).collect())
