@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, language, near_dup, pu_quality, rules, secrets, sharding, token_counts, warc
+from ledgerline.llm import (
+    bpe,
+    decontaminate,
+    language,
+    mixing,
+    near_dup,
+    negatives,
+    pu_quality,
+    rules,
+    secrets,
+    sharding,
+    token_counts,
+    variants,
+    warc,
+)
+from ledgerline.operators.staging import broadcast_if_small
 from ledgerline.session import apply_scale_conf
 
 
@@ -123,6 +138,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (language.fold() == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.variants(variants.vocabulary(docs, spell=variants.noisy))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), F.array("source"))
+    goals, _ = broadcast_if_small(mixed.sources)  # one row for each source
+    of = F.element_at("sources", 1).eqNullSafe(F.col("source"))
+    return mixed.documents.join(goals, of, "left").select(
+        F.col("key").alias("doc_id"), "size", F.col("words").alias("source_size"), "target", "taken"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_shards": op1_histogram_shards,
     "op2_warc_normaliser": op2_warc_normaliser,
@@ -134,6 +169,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_mix": op13_source_mix,
 }
 
 # Exact answer by an inverted index over whole shingles, then components by recursion.
@@ -190,7 +228,85 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, digest AS payload_dige
 FROM payloads JOIN coded USING (hex)
 """
 
+# All pairs of an anchor and a row, scored as sums of products.
+NEGATIVES_SQL = r"""
+WITH clean AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM clean a JOIN clean b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, positive_id,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT * FROM ranked WHERE rank <= 3
+"""
+
+# The checksum by its table (from its rule), near words by the words with one code point left out.
+VARIANTS_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    [i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), found AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-z\x{C0}-\x{FF}]{6,}')) AS run
+  FROM documents
+), runs AS (
+  SELECT run, hex(encode(concat(doc_id, ':', run))) AS hx, count(*) AS n FROM found GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(0, len(hx) // 2),
+      lambda i: ('0x' || substr(hx, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM runs, crc_table
+), spelt AS (
+  SELECT n, CASE WHEN h % 199 = 0
+    THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word
+  FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), keys AS (
+  SELECT word, word AS k FROM words
+  UNION
+  SELECT word, substr(word, 1, i::INTEGER) || substr(word, i::INTEGER + 2) FROM words, range(length(word)) r(i)
+), near AS (
+  SELECT DISTINCT a.word, b.word AS other FROM keys a JOIN keys b ON a.k = b.k AND a.word <> b.word
+  WHERE a.k IN (a.word, b.word) OR length(a.word) = length(b.word) AND len(list_filter(
+    range(1, length(a.word) + 1), lambda i: substr(a.word, i, 1) <> substr(b.word, i, 1))) = 1
+), ranked AS (
+  SELECT near.word, other, w.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, other) AS place
+  FROM near JOIN words w ON w.word = other
+), judged AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near,
+    CASE WHEN r.other_n >= 5 * w.n THEN r.other END AS form,
+    CASE WHEN r.other_n >= 5 * w.n THEN r.other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1
+), chain AS (
+  SELECT word, word AS at, form AS next FROM judged
+  UNION ALL
+  SELECT c.word, j.word, j.form FROM chain c JOIN judged j ON j.word = c.next
+)
+SELECT j.word, j.form, c.at AS root, j.n, j.n_near, j.form_n
+FROM judged j JOIN chain c ON c.word = j.word AND c.next IS NULL
+"""
+
 ORACLE: dict[str, str] = {
     "op2_warc_normaliser": WARC_SQL,
     "op5_near_duplicates": NEAR_DUP_SQL,
+    "op11_hard_negatives": NEGATIVES_SQL,
+    "op12_spelling_variants": VARIANTS_SQL,
 }
