@@ -7,6 +7,8 @@ give the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +32,12 @@ def with_missing_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def unify(raw: DataFrame, source_file: Column | None = None) -> DataFrame:
+def unify(raw: DataFrame, source_file: Column | None = None, extra: Sequence[str] = ()) -> DataFrame:
     """Superset records -> Bronze rows.
 
     value = value, else cost; metric = metric, else charged product; date =
-    day, else month.  Rows without a positive value are dropped.
+    day, else month.  Rows without a positive value are dropped.  ``extra`` names
+    columns of the records that are carried along behind the Bronze ones.
     """
     raw = with_missing_columns(raw)
     if source_file is None:
@@ -54,6 +57,7 @@ def unify(raw: DataFrame, source_file: Column | None = None) -> DataFrame:
         extracted.alias("extracted_at"),
         source_file.alias("_source_file"),
         F.current_timestamp().alias("_ingested_at"),
+        *[F.col(c) for c in extra],
     ).filter(F.col("value").isNotNull() & (F.col("value") > 0))
 
 

@@ -40,12 +40,15 @@ def dedupe_latest(
     if on_duplicate not in ("latest", "error"):
         raise ValueError(f"on_duplicate must be latest, error or keep, got {on_duplicate!r}")
     keys = list(keys)
+    columns = df.columns
     if null_keys == "keep":
+        # Rows with a NULL key get a number of their own as one more key, so that
+        # one pass over the input serves both kinds of row.
         unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        found = dedupe_latest(df.filter(~unmatched), keys, order, on_duplicate)
-        return found.unionByName(df.filter(unmatched))
-    order_cols = [c for c in order if c in df.columns and c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order_cols]
+        df = df.withColumn("_own_row", F.when(unmatched, F.monotonically_increasing_id()))
+        keys = [*keys, "_own_row"]
+    order_cols = [c for c in order if c in columns and c not in keys]
+    rest = [c for c in columns if c not in keys and c not in order_cols]
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
                       *[F.col(c).alias(f"_p{i}") for i, c in enumerate(rest)])
     aggs = [F.max(packed).alias("_latest")]
@@ -61,4 +64,4 @@ def dedupe_latest(
             F.when(F.col("_n") > 1, F.raise_error(F.lit("duplicate source key in dedupe_latest"))),
             F.col(keys[0]),
         )
-    return grouped.select(*[fields[c].alias(c) for c in df.columns])
+    return grouped.select(*[fields[c].alias(c) for c in columns])

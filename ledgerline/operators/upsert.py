@@ -6,24 +6,22 @@ Plan
 1. Deduplicate the source on the key (a MERGE with several source rows for
    one target row is ill-defined) and stage it (lineage cut; it is used three
    times below).
-2. Touched partitions = distinct partition values of the source.  At most
-   ``LITERAL_PRUNE_MAX + 1`` of them are fetched (partition keys, i.e. table
-   metadata of the same order as the directory listing the driver already
-   holds); up to the bound they become a literal predicate on the partition
-   columns, which the file index evaluates before any file is opened: only
-   touched partition directories are read.  Above the bound the target is
-   semi-joined with the (size-checked broadcast of the) staged touched
-   partitions instead; still exact, but it scans the whole target.
+2. Touched partitions = distinct partition values of the source (table
+   metadata of the same order as the directories this merge is about to write).
+   They become one set membership test on the partition columns, which the file
+   index evaluates per directory before any file is opened.  The cost follows
+   the number of touched partitions, few or many: there is no size above which
+   the whole target is read.
 3. Target rows of touched partitions without a matching source key
    (left-anti join on the key, ``=`` or null-safe ``<=>``) plus all source
    rows = the new content of the touched partitions.  The source side of the
    anti-join is broadcast only when its measured size allows; otherwise it is
    a shuffle join and AQE splits skewed keys.
-4. The new content is staged (a table cannot be overwritten while it is being
-   read) and written with dynamic partition overwrite: untouched partitions
-   are never rewritten.  The staged source and merged copies are then
-   deleted (``release_staging``), so a daily merge leaves no copy of the
-   touched partitions behind.
+4. The new content is written with dynamic partition overwrite, which may read
+   the table that it writes (the job's files replace the old ones when it
+   commits): untouched partitions are never rewritten and touched ones are
+   written once.  The staged source is then deleted (``release_staging``), so a
+   merge leaves no copy behind.
 
 Not atomic for concurrent readers of the touched partitions; replaying the
 same source is idempotent for non-NULL keys.
@@ -32,19 +30,18 @@ same source is idempotent for non-NULL keys.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.dedupe import DEFAULT_ORDER, dedupe_latest
-from ledgerline.operators.staging import broadcast_if_small, release, stage, stage_at
+from ledgerline.operators.staging import broadcast_if_small, release, stage_at
 from ledgerline.schemas import SILVER_KEY, SILVER_PARTITIONS
 from ledgerline.session import path_exists
 
-# Most touched partitions turned into a literal pruning predicate.
-LITERAL_PRUNE_MAX = 2_000
+_SEPARATOR = "\u0001"
+_NULL = "\u0002"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -93,8 +90,8 @@ def upsert(
     An absent or empty target is a first load (plain partitioned write).
     Returns small bookkeeping counts (touched partitions, source rows) and,
     under ``"touched"``, a DataFrame of the partition values written.  With
-    ``release_staging`` the staged copies of the source and of the merged
-    partitions are deleted once the final write has succeeded.
+    ``release_staging`` the staged copy of the source is deleted once the final
+    write has succeeded.
     """
     spark = source.sparkSession
     keys, partitions = list(keys), list(partitions)
@@ -103,14 +100,8 @@ def upsert(
     src, src_path = stage_at(dedupe_latest(source, keys, order, on_duplicate, null_keys), "upsert-source")
     staged = [src_path]
 
-    # At most LITERAL_PRUNE_MAX + 1 partition keys reach the driver; above
-    # that the touched partitions stay a staged table.
-    touched = src.select(*partitions).distinct()
-    keys_seen = touched.limit(LITERAL_PRUNE_MAX + 1).collect()
-    if len(keys_seen) <= LITERAL_PRUNE_MAX:
-        touched = spark.createDataFrame(keys_seen, touched.schema)
-    else:
-        touched = stage(touched, "upsert-partitions")
+    keys_seen = src.select(*partitions).distinct().collect()  # one row for each directory to write
+    touched = spark.createDataFrame(keys_seen, src.select(*partitions).schema)
 
     def done(info: dict) -> dict:
         if release_staging:
@@ -126,31 +117,22 @@ def upsert(
 
     schema = src.schema  # target has the same layout; avoids partition-type inference
     target = read_table(spark, target_path, schema).select(*columns)
-    if len(keys_seen) <= LITERAL_PRUNE_MAX:
-        n_touched = len(keys_seen)
-        in_touched = target.filter(partition_predicate(keys_seen, partitions))
-    else:
-        bc, n_touched = broadcast_if_small(touched)
-        # Null-safe on partition values too: a NULL partition is one directory.
-        in_touched = target.join(
-            bc.alias("_t"), [target[p].eqNullSafe(F.col(f"_t.{p}")) for p in partitions], "left_semi"
-        )
+    n_touched = len(keys_seen)
+    in_touched = target.filter(partition_predicate(keys_seen, partitions))
 
     if matched == "newest":
-        both = in_touched.unionByName(src.select(*columns))
-        merged, merged_path = stage_at(dedupe_latest(both, keys, order, "latest", null_keys), "upsert-merged")
-        staged.append(merged_path)
-        write_partitioned(merged, target_path, partitions, "overwrite")
-        return done({"touched_partitions": n_touched, "source_rows": src.count(), "first_load": 0})
-    src_keys, n_src = broadcast_if_small(src.select(*keys))
-    src_keys = src_keys.alias("_s")
-    match = [
-        (in_touched[k].eqNullSafe(F.col(f"_s.{k}")) if null_safe else in_touched[k] == F.col(f"_s.{k}"))
-        for k in keys
-    ]
-    kept = in_touched.join(src_keys, match, "left_anti")
-    merged, merged_path = stage_at(kept.unionByName(src.select(*columns)), "upsert-merged")
-    staged.append(merged_path)
+        merged = dedupe_latest(in_touched.unionByName(src.select(*columns)), keys, order, "latest", null_keys)
+        n_src = src.count()
+    else:
+        src_keys, n_src = broadcast_if_small(src.select(*keys))
+        src_keys = src_keys.alias("_s")
+        match = [
+            (in_touched[k].eqNullSafe(F.col(f"_s.{k}")) if null_safe else in_touched[k] == F.col(f"_s.{k}"))
+            for k in keys
+        ]
+        merged = in_touched.join(src_keys, match, "left_anti").unionByName(src.select(*columns))
+    # A dynamic overwrite may read the table that it writes: new files go to a
+    # staging folder of the job and replace the old ones when it commits.
     write_partitioned(merged, target_path, partitions, "overwrite")
     return done({"touched_partitions": n_touched, "source_rows": n_src, "first_load": 0})
 
@@ -170,11 +152,19 @@ def drop_partition(spark: SparkSession, table_path: str, values: dict) -> None:
         fs.delete(jpath, True)
 
 
-def partition_predicate(keys, partitions: Sequence[str]):
-    """OR of null-safe equalities, one conjunction per partition key tuple."""
-    terms = [
-        reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in partitions]) for row in keys
-    ]
-    return reduce(lambda a, b: a | b, terms)
+def partition_name(partitions: Sequence[str]):
+    """The partition values of a row as one text (NULL is a value of its own)."""
+    parts = [F.coalesce(F.col(p).cast("string"), F.lit(_NULL)) for p in partitions]
+    return F.concat_ws(_SEPARATOR, *parts)
 
 
+def _written(value) -> str:
+    if value is None:
+        return _NULL
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def partition_predicate(keys, partitions: Sequence[str]):
+    """Whether a row lies in one of the partitions ``keys``: a hashed set test on partition columns only."""
+    names = {_SEPARATOR.join(_written(row[p]) for p in partitions) for row in keys}
+    return partition_name(partitions).isin(sorted(names))

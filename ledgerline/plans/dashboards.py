@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import period_label
+from ledgerline.operators.staging import stage
 from ledgerline.schemas import COST_PRODUCTS, PROVIDERS
 
 
@@ -21,16 +22,16 @@ def monthly_cost_pivot(trend: DataFrame, products: Sequence[str] | None = None)
 
     Without ``products`` the columns are the named products (always, so that
     their order is stable) and then every other product present in the trend,
-    found by a distinct over that small monthly table.
+    found by a distinct over the staged cells: the trend runs once.
     """
+    period = period_label(F.col("year"), F.col("month")).alias("period")
+    cells = trend.filter(F.col("cost_usd") > 0).groupBy(period, "product").agg(F.sum("cost_usd").alias("cost_usd"))
     if products is None:
-        present = trend.filter((F.col("cost_usd") > 0) & F.col("product").isNotNull())
-        others = present.filter(~F.col("product").isin(*COST_PRODUCTS)).select("product").distinct()
+        cells = stage(cells, "cost-cells")  # a row per month and product, read twice
+        others = cells.filter(~F.col("product").isin(*COST_PRODUCTS)).select("product").distinct()
         products = [*COST_PRODUCTS, *sorted(r["product"] for r in others.collect())]
     return (
-        trend.filter(F.col("cost_usd") > 0)
-        .select(period_label(F.col("year"), F.col("month")).alias("period"), "product", "cost_usd")
-        .groupBy("period")
+        cells.groupBy("period")
         .pivot("product", list(products))
         .agg(F.round(F.sum("cost_usd"), 2))
         .na.fill(0)

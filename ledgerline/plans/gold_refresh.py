@@ -16,10 +16,12 @@ recomputes exactly the Gold rows that depend on them:
 Silver is read through partition filters, so only the touched directories are
 scanned.  Gold tables use partitioned layouts (daily by product/year/month,
 hosts by year/month, anomalies by product/month) and are rewritten with
-dynamic partition overwrite.  The consumed position (last batch id) is
-written only after every mart succeeded, so a failed refresh is simply
-repeated next time.  Without a position, or with more touched partitions than
-``LITERAL_PRUNE_MAX``, the refresh rebuilds everything.
+dynamic partition overwrite.  The consumed position (the last batch of each
+Silver stream) is written only after every mart succeeded, so a failed refresh
+is simply repeated next time.  The cost follows the number of touched
+partitions, whatever that is.  Without a position, or when the log holds a
+stream that the position does not know (a new checkpoint: Silver may have been
+built anew), the refresh rebuilds everything.
 """
 
 from __future__ import annotations
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 from ledgerline.operators import anomalies as anom
 from ledgerline.operators import gold
 from ledgerline.operators.staging import release, stage_at
-from ledgerline.operators.upsert import LITERAL_PRUNE_MAX, drop_partition, partition_predicate, write_partitioned
+from ledgerline.operators.upsert import drop_partition, partition_predicate, write_partitioned
 from ledgerline.session import path_exists
+from ledgerline.streaming.silver_stream import read_changes
 
 PARTITIONS = ["product", "year", "month"]
 LAYOUT = {
@@ -41,15 +44,22 @@ LAYOUT = {
 }
 
 
-def _state(spark: SparkSession, state_path: str) -> int | None:
+STATE_SCHEMA = "stream_id string, batch_id long"
+
+
+def _state(spark: SparkSession, state_path: str) -> dict[str, int] | None:
+    """Last consumed batch of each stream; None without a position."""
     if not path_exists(spark, state_path):
         return None
-    row = spark.read.parquet(state_path).agg(F.max("batch_id").alias("b")).first()
-    return None if row is None or row.b is None else int(row.b)
+    rows = spark.read.schema(STATE_SCHEMA).parquet(state_path).collect()  # one row for each checkpoint ever used
+    if any(r["stream_id"] is None for r in rows):  # forgotten, or written by an older release
+        return None
+    return {r["stream_id"]: int(r["batch_id"]) for r in rows}
 
 
-def _save_state(spark: SparkSession, state_path: str, batch_id: int | None) -> None:
-    spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(state_path)
+def _save_state(spark: SparkSession, state_path: str, position: dict[str, int] | None) -> None:
+    rows = [(None, None)] if position is None else list(position.items())
+    spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(state_path)
 
 
 def reset_state(spark: SparkSession, state_path: str) -> None:
@@ -85,26 +95,26 @@ def refresh_gold(spark: SparkSession, paths, read_silver, changes_path: str, sta
     if not path_exists(spark, paths.silver):
         return {"mode": "none"}
     last = _state(spark, state_path)
-    changes = spark.read.parquet(changes_path) if path_exists(spark, changes_path) else None
-    newest = None
+    changes = None
+    if path_exists(spark, changes_path):
+        changes = read_changes(spark, changes_path).where("stream_id is not null")
+    newest: dict[str, int] = {}
     if changes is not None:
-        row = changes.agg(F.max("batch_id").alias("b")).first()
-        newest = None if row is None or row.b is None else int(row.b)
+        by_stream = changes.groupBy("stream_id").agg(F.max("batch_id").alias("b"))
+        newest = {r["stream_id"]: int(r["b"]) for r in by_stream.collect()}  # one row for each checkpoint
     silver = read_silver()
 
-    if last is None:
+    if last is None or set(newest) - set(last):
         out = _write_all(spark, silver, paths)
-        _save_state(spark, state_path, -1 if newest is None else newest)
+        _save_state(spark, state_path, {**(last or {}), **newest})
         return out
-    if newest is None or newest <= last:
+    behind = {s: b for s, b in newest.items() if b > last[s]}
+    if not behind:
         return {"mode": "unchanged"}
 
-    pending = changes.filter(F.col("batch_id") > last).select(*PARTITIONS).distinct()
-    keys = pending.limit(LITERAL_PRUNE_MAX + 1).collect()  # partition keys only, bounded
-    if len(keys) > LITERAL_PRUNE_MAX:
-        out = _write_all(spark, silver, paths)
-        _save_state(spark, state_path, newest)
-        return out
+    consumed = F.create_map(*[F.lit(x) for s in behind for x in (s, last[s])])
+    pending = changes.filter(F.col("batch_id") > consumed[F.col("stream_id")])
+    keys = pending.select(*PARTITIONS).distinct().collect()  # one row for each touched directory
 
     touched = silver.filter(partition_predicate(keys, PARTITIONS))
 
@@ -143,5 +153,5 @@ def refresh_gold(spark: SparkSession, paths, read_silver, changes_path: str, sta
     gold.with_updated_at(gold.with_month_over_month(monthly)).write.mode("overwrite").parquet(trend_path)
     release(spark, monthly_stage)
 
-    _save_state(spark, state_path, newest)
-    return {"mode": "incremental", "touched_partitions": len(keys), "batches": [last + 1, newest]}
+    _save_state(spark, state_path, {**last, **newest})
+    return {"mode": "incremental", "touched_partitions": len(keys), "batches": sum(b - last[s] for s, b in behind.items())}

@@ -61,6 +61,10 @@ class LakePaths:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
+    @property
+    def bronze_columns(self) -> str:
+        return f"{self.root}/_changes/bronze_columns"
+
     @property
     def silver_changes(self) -> str:
         return f"{self.root}/_changes/silver"
@@ -76,7 +80,10 @@ def lake_paths(root: str, landing: str | None = None) -> LakePaths:
 
 
 def run_bronze(spark: SparkSession, paths: LakePaths, product: str | None = None) -> dict:
-    return ingest(spark, paths.landing, paths.bronze, paths.checkpoint("bronze"), product=product)
+    return ingest(
+        spark, paths.landing, paths.bronze, paths.checkpoint("bronze"), product=product,
+        column_log=paths.bronze_columns,
+    )
 
 
 def run_silver(
@@ -85,10 +92,11 @@ def run_silver(
     month_grain: str = "first_day",
     null_safe: bool = False,
     partitions: tuple[str, ...] = SILVER_PARTITIONS,
+    max_files_per_trigger: int | None = 1000,
 ) -> None:
     upsert_stream(
         spark, paths.bronze, paths.silver, paths.checkpoint("silver"), month_grain, null_safe,
-        partitions=partitions, changes_path=paths.silver_changes,
+        max_files_per_trigger=max_files_per_trigger, partitions=partitions, changes_path=paths.silver_changes,
     )
 
 
@@ -107,18 +115,18 @@ def gold_marts(silver: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_counted(df: DataFrame, path: str, name: str) -> int:
-    """Overwrite ``path`` with ``df`` and return the row count observed by the write."""
+    """Overwrite ``path`` with mart ``name`` in its stored order; return the row count observed by the write."""
     obs = Observation(name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    rows = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    gold.in_stored_order(name, rows).write.mode("overwrite").parquet(path)
     return int(obs.get["rows"])
 
 
 def write_counted_table(df: DataFrame, path: str, table: str) -> int:
-    """Replace catalog table ``table`` (data at ``path``); return the observed row count."""
+    """Replace catalog table ``table`` (a mart, data at ``path``), schema included; return the observed row count."""
     obs = Observation(table)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet").option(
-        "path", path
-    ).saveAsTable(table)
+    rows = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    tables.overwrite_table(gold.in_stored_order(table.rsplit(".", 1)[-1], rows), table, path)
     return int(obs.get["rows"])
 
 
@@ -137,7 +145,7 @@ def run_gold(spark: SparkSession, paths: LakePaths, database: str | None = None)
 
 def register_tables(spark: SparkSession, paths: LakePaths, database: str) -> None:
     """Catalog tables over the lake folders (Bronze, Silver); Gold tables are saved by ``run_gold``."""
-    tables.create_database(spark, database)
+    tables.create_database(spark, database, f"{paths.root}/_database")
     tables.create_bronze_table(spark, f"{database}.{BRONZE_TABLE}", paths.bronze)
     tables.create_silver_table(spark, f"{database}.{SILVER_TABLE}", paths.silver)
 

@@ -191,26 +191,85 @@ def _pivot_cols(values: list[str], column: str, measure: str, agg: str, places:
 
 def _payload_usage(product: str) -> str:
     return f"""WITH {U}
-SELECT product, date, org_name, metric_name, max(value) AS value, unit
-FROM u WHERE product = '{product}'
-GROUP BY product, date, hour(extracted_at), org_name, metric_name, unit
-HAVING max(value) > 0"""
+SELECT product, date, org_name, metric_name, value, unit
+FROM u WHERE product = '{product}' AND value > 0"""
 
 
-FLAT_USAGE = """
-fu AS (
-    SELECT product, date, org_name, metric_name, max(value) AS value
-    FROM u GROUP BY product, date, hour(extracted_at), org_name, metric_name
-    HAVING max(value) > 0
+# What extraction finds in the window of 9,000 days up to 2024-01-20.
+EXTRACTED = """
+x AS (
+    SELECT product, date AS period FROM u WHERE value > 0 AND date BETWEEN '1999-05-31' AND '2024-01-20'
+    UNION ALL
+    SELECT product, month FROM c WHERE cost_usd > 0 AND month BETWEEN '1999-05' AND '2024-01'
 )"""
 
-FLAT_COST = """
-fc AS (
-    SELECT month, round(round(sum(cost_usd), 2), 4) AS cost_usd
-    FROM c GROUP BY month, org_name, product_name, charge_type
-    HAVING round(sum(cost_usd), 2) > 0
+# Silver after the upsert: the latest row of each key.
+BASE_LATEST = f"WITH {U},{C},{B},{_silver_cte('s0', 'b')},s AS (SELECT * FROM s0 {LATEST})"
+
+DAILY = """
+dy AS (
+    SELECT product, date, org_name,
+        round(sum(CASE WHEN is_cost_metric THEN value ELSE 0 END), 2) AS cost_usd,
+        round(sum(CASE WHEN NOT is_cost_metric THEN value ELSE 0 END), 2) AS usage_total
+    FROM s GROUP BY product, date, org_name
 )"""
 
+MART_LINES = f"""
+SELECT 'gold_daily_summary' AS mart, product AS subject, org_name, strftime(date, '%Y-%m-%d') AS period,
+       cost_usd AS first_measure, usage_total AS second_measure FROM dy
+UNION ALL
+SELECT 'gold_product_trend', product, org_name, {PERIOD}, cost_usd, cost_usd_prev_month FROM t
+UNION ALL
+SELECT 'gold_top_hosts', metric_name, org_name, {PERIOD}, avg_hosts, peak_hosts FROM h
+UNION ALL
+SELECT 'gold_cost_anomalies', concat(product, '/', metric_name), org_name, strftime(date, '%Y-%m-%d'), value, z_score
+FROM a"""
+
+
+def _stored(mart: str, subject: str, source: str, order: str) -> str:
+    return f"""
+SELECT '{mart}' AS mart, row_number() OVER (ORDER BY {order}) AS position, {subject} AS subject, org_name
+FROM {source}"""
+
+
+# Declared columns of the layers: name, type; partition columns last.
+BRONZE_DECLARED = [
+    ("org_name", "string"), ("metric_name", "string"), ("value", "double"), ("unit", "string"),
+    ("extracted_at", "timestamp"), ("_source_file", "string"), ("_ingested_at", "timestamp"),
+    ("product", "string"), ("date", "string"),
+]
+SILVER_DECLARED = [
+    ("date", "date"), ("week_of_year", "int"), ("day_of_week", "string"), ("org_name", "string"),
+    ("metric_name", "string"), ("metric_category", "string"), ("value", "double"), ("value_normalized", "double"),
+    ("unit", "string"), ("unit_normalized", "string"), ("is_cost_metric", "boolean"), ("extracted_at", "timestamp"),
+    ("_silver_updated_at", "timestamp"), ("product", "string"), ("year", "int"), ("month", "int"),
+]
+DAILY_BEFORE = [("product", "string"), ("date", "date"), ("cost_usd", "double")]
+DAILY_AFTER = [
+    ("product", "string"), ("date", "date"), ("year", "int"), ("month", "int"), ("day_of_week", "string"),
+    ("org_name", "string"), ("cost_usd", "double"), ("usage_total", "double"), ("usage_normalized", "double"),
+    ("usage_unit", "string"), ("metrics_count", "bigint"),
+]
+
+
+def _declared(step: str, columns: list[tuple[str, str]], rows: str) -> str:
+    listed = ", ".join(f"({i}, '{name}', '{kind}')" for i, (name, kind) in enumerate(columns, 1))
+    return (
+        f"SELECT '{step}' AS step, CAST(position AS INTEGER) AS position, column_name, data_type, "
+        f'CAST({rows} AS BIGINT) AS "rows" FROM (VALUES {listed}) v(position, column_name, data_type)'
+    )
+
+
+_DAILY_ROWS = "(SELECT count(*) FROM dy)"
+CATALOG_SCHEMA = f"{BASE},{DAILY} " + " UNION ALL ".join(
+    [
+        _declared("mart", DAILY_BEFORE, _DAILY_ROWS),
+        _declared("mart replaced", DAILY_AFTER, _DAILY_ROWS),
+        _declared("bronze", BRONZE_DECLARED, "0"),
+        _declared("silver", SILVER_DECLARED, "0"),
+    ]
+)
+
 ORACLE: dict[str, str] = {
     "bronze_unify": f"WITH {U},{C},{B} SELECT product, date, org_name, metric_name, value, unit FROM b",
     "bronze_product_scope": f"WITH {U},{C},{B} SELECT product, date, org_name, metric_name, value, unit FROM b WHERE product = 'estimated_cost'",
@@ -248,18 +307,68 @@ FROM c GROUP BY ALL""",
     "payload_apm_flatten": _payload_usage("apm"),
     "payload_logs_flatten": _payload_usage("logs"),
     "payload_cost_flatten": f"""WITH {C}
-SELECT product_name, charge_type, round(round(sum(cost_usd), 2), 4) AS cost_usd, month, org_name
-FROM c GROUP BY month, org_name, product_name, charge_type
-HAVING round(sum(cost_usd), 2) > 0""",
-    "extract_load": f"""WITH {U},{FLAT_USAGE}
-SELECT product, count(DISTINCT date) AS periods, count(*) AS "rows"
-FROM fu WHERE date BETWEEN '2024-01-10' AND '2024-01-20' GROUP BY product""",
-    "extract_dry_run": f"""WITH {U},{C},{FLAT_USAGE},{FLAT_COST}
-SELECT product, count(*) AS n FROM (
-    SELECT product FROM fu WHERE date BETWEEN '1996-01-02' AND '1996-06-30'
-    UNION ALL
-    SELECT 'estimated_cost' FROM fc WHERE month BETWEEN '1996-01' AND '1996-06'
-) GROUP BY product""",
+SELECT product_name, charge_type, round(cost_usd, 4) AS cost_usd, month, org_name FROM c WHERE cost_usd > 0""",
+    "extract_load": f"""WITH {U},{C},{EXTRACTED}
+SELECT product, count(DISTINCT period) AS periods, count(*) AS "rows", CAST(0 AS BIGINT) AS malformed
+FROM x GROUP BY product""",
+    "extract_dry_run": f"""WITH {U},{C},{EXTRACTED}
+SELECT product, count(*) AS n, CAST(0 AS BIGINT) AS malformed FROM x GROUP BY product""",
+    "landing_file_listing": f"""WITH {U},{C}
+SELECT DISTINCT product, date AS period, true AS has_files, true AS has_bytes, true AS has_times FROM u
+UNION ALL
+SELECT DISTINCT product, month, true, true, true FROM c""",
+    "landing_run_manifest": f"""WITH {U},{C}
+SELECT 'ledgerline' AS pipeline, 'usage run' AS run_tag, product, date AS period, true AS has_files,
+       count(*) AS "rows", true AS has_times FROM u GROUP BY product, date
+UNION ALL
+SELECT 'ledgerline', 'cost run', product, month, true, count(*), true FROM c GROUP BY product, month""",
+    "bronze_schema_growth": f"""WITH {U.replace("ts AS extracted_at", "ts AS extracted_at, user_id")}
+SELECT product, date, org_name, metric_name, value, unit, CASE WHEN date >= '2024-01-16' THEN user_id END AS account_id
+FROM u WHERE value > 0""",
+    "bronze_stream_progress": f"""WITH {U},{C},{B},
+parts AS (
+    SELECT CASE WHEN product = 'estimated_cost' THEN date < '1998-06' ELSE date < '2024-01-16' END AS first FROM b
+)
+SELECT 1 AS run, count(*) FILTER (WHERE first) AS rows_added FROM parts
+UNION ALL SELECT 2, 0
+UNION ALL SELECT 3, count(*) FILTER (WHERE NOT first) FROM parts""",
+    "bronze_text_timestamps": f"""WITH {U}
+SELECT product, date, CAST(hour(extracted_at) AS INTEGER) AS hour, CAST(minute(extracted_at) AS INTEGER) AS minute,
+       count(*) AS n
+FROM u WHERE value > 0 GROUP BY ALL""",
+    "silver_upsert_all": f"""{BASE},
+part AS (
+    SELECT *, CASE WHEN is_cost_metric THEN day(extracted_at) <= 15 ELSE hour(extracted_at) < 12 END AS early FROM s
+),
+tgt AS (SELECT * FROM part WHERE early {LATEST}),
+src AS (SELECT * FROM part WHERE NOT early {LATEST})
+SELECT product, date, org_name, metric_name, value FROM src
+UNION ALL
+SELECT product, date, org_name, metric_name, value FROM tgt ANTI JOIN src USING (product, date, org_name, metric_name)""",
+    "silver_stream_upsert": f"{BASE_LATEST} SELECT product, date, org_name, metric_name, value FROM s",
+    "gold_incremental": f"{BASE_LATEST},{TREND},{HOSTS},{ANOMALIES},{DAILY}{MART_LINES}",
+    "mart_stored_order": f"{BASE},{TREND},{HOSTS},{ANOMALIES},{DAILY}"
+    + " UNION ALL ".join(
+        [
+            _stored("gold_daily_summary", "product", "dy", "product, date, org_name"),
+            _stored("gold_product_trend", "product", "t", "product, year DESC, month DESC, org_name"),
+            _stored(
+                "gold_top_hosts", "metric_name", "h", "year DESC, month DESC, avg_hosts DESC, metric_name, org_name"
+            ),
+            _stored(
+                "gold_cost_anomalies", "product", "a",
+                "date DESC, z_score DESC, product, metric_name, org_name, value DESC",
+            ),
+        ]
+    ),
+    "catalog_medallion": f"""{BASE_LATEST},{TREND},{HOSTS},{ANOMALIES},{DAILY}
+SELECT 'bronze_raw' AS layer, count(*) AS n, count(DISTINCT product) AS subjects FROM b
+UNION ALL SELECT 'silver_costs', count(*), count(DISTINCT product) FROM s
+UNION ALL SELECT 'gold_daily_summary', count(*), count(DISTINCT product) FROM dy
+UNION ALL SELECT 'gold_product_trend', count(*), count(DISTINCT product) FROM t
+UNION ALL SELECT 'gold_top_hosts', count(*), count(DISTINCT metric_name) FROM h
+UNION ALL SELECT 'gold_cost_anomalies', count(*), count(DISTINCT product) FROM a""",
+    "catalog_schema": CATALOG_SCHEMA,
     "silver_transform": f"{BASE} SELECT {SILVER_COLS} FROM s",
     "silver_dedupe_latest": f"{BASE} SELECT {SILVER_COLS} FROM s {LATEST}",
     "silver_upsert": f"""WITH {U},
@@ -323,3 +432,6 @@ SELECT {PERIOD} AS period, round(sum(cost_usd), 2) AS total_cost_usd,
        count(DISTINCT product) AS active_products, CAST(sum(active_days) AS BIGINT) AS total_active_days
 FROM t WHERE cost_usd > 0 GROUP BY year, month ORDER BY year DESC, month DESC LIMIT 12""",
 }
+ORACLE["dash_mom_sql"] = ORACLE["dash_mom_change"]
+ORACLE["dash_anomalies_sql"] = ORACLE["dash_anomalies_top"]
+ORACLE["exec_summary_sql"] = ORACLE["exec_summary"]

@@ -106,6 +106,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def changed_at(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """(modification time, length) of a file or folder; None where it is missing or not reachable (Connect)."""
+    sc = _context(spark)
+    if sc is None:
+        return None
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(jpath):
+        return None
+    status = fs.getFileStatus(jpath)
+    return status.getModificationTime(), status.getLen()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists and is not an empty folder (any Hadoop file system)."""
     sc = _context(spark)

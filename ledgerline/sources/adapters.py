@@ -45,8 +45,8 @@ def _org(key: Column) -> Column:
     return F.concat(F.lit(" Org_"), (key % 3).cast("string"), F.lit(" "))
 
 
-def usage_records(events: DataFrame) -> DataFrame:
-    """Usage records (product, date, org_name, metric_name, value, unit, extracted_at)."""
+def usage_records(events: DataFrame, *extra: Column) -> DataFrame:
+    """Usage records (product, date, org_name, metric_name, value, unit, extracted_at), then ``extra``."""
     et = F.col("event_type")
     even = (F.col("user_id") % 2) == 0
     metric = (
@@ -66,11 +66,12 @@ def usage_records(events: DataFrame) -> DataFrame:
         value.alias("value"),
         _lookup(et, EVENT_UNIT, F.lit("hosts")).alias("unit"),
         F.col("ts").cast("timestamp").alias("extracted_at"),
+        *extra,
     )
 
 
-def cost_records(orders: DataFrame) -> DataFrame:
-    """Cost records (product_name, charge_type, cost_usd, month, org_name, extracted_at).
+def cost_records(orders: DataFrame, *extra: Column) -> DataFrame:
+    """Cost records (product_name, charge_type, cost_usd, month, org_name, extracted_at), then ``extra``.
 
     ``product`` is added as the landing path would supply it.
     """
@@ -82,6 +83,7 @@ def cost_records(orders: DataFrame) -> DataFrame:
         text_month(F.col("o_orderdate")).alias("month"),
         _org(F.col("o_custkey")).alias("org_name"),
         F.col("o_orderdate").cast("timestamp").alias("extracted_at"),
+        *extra,
     )
 
 
@@ -102,9 +104,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def usage_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage_records(read_table(spark, sf_dir, "events"))
+def usage_from(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
+    return usage_records(read_table(spark, sf_dir, "events"), *extra)
 
 
-def cost_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cost_records(read_table(spark, sf_dir, "orders"))
+def cost_from(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
+    return cost_records(read_table(spark, sf_dir, "orders"), *extra)

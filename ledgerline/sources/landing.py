@@ -181,11 +181,77 @@ def file_audit(spark: SparkSession, root: str, product: str | None = None) -> Da
     return files
 
 
+PERIOD_PATTERN = r"/year=(\d+)/month=(\d+)(?:/day=(\d+))?/"
+
+
+def _same_form(path):
+    """A file's path however many slashes follow its scheme."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def file_period(path):
+    """The day (usage) or month (cost) that a landed file's directory names."""
+    part = [F.nullif(F.regexp_extract(path, PERIOD_PATTERN, i), F.lit("")) for i in (1, 2, 3)]
+    return F.concat_ws("-", *part)
+
+
 def file_row_counts(landed: DataFrame) -> DataFrame:
     """Rows per landed file (what the source system kept as object metadata)."""
     return landed.groupBy("product", "_source_file").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def described_files(spark: SparkSession, root: str) -> DataFrame:
+    """path, product, period, rows, size_bytes, created_at of every landed file.
+
+    The listing names the files; their rows are counted without reading a column
+    (row counts of the Parquet row groups).  A file without rows is listed with 0.
+    """
+    listed = file_audit(spark, root).withColumn("path", _same_form(F.col("path")))
+    read = spark.read.schema(LANDING_SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    rows = read.parquet(root).groupBy(_same_form(F.col("_metadata.file_path")).alias("path")).count()
+    return listed.join(rows, "path", "left").select(
+        "path",
+        F.regexp_extract("path", PRODUCT_PATTERN, 1).alias("product"),
+        file_period(F.col("path")).alias("period"),
+        F.coalesce("count", F.lit(0)).alias("rows"),
+        "size_bytes",
+        F.col("last_modified").alias("created_at"),
+    )
+
+
+# The manifest of a landing tree: one row per file with the tag of the run that
+# landed it.  Its folder starts with an underscore, so readers of the tree skip it.
+MANIFEST = "_manifest"
+MANIFEST_SCHEMA = (
+    "path string, product string, period string, rows long, size_bytes long, created_at timestamp, "
+    "pipeline string, run_tag string"
+)
+PIPELINE = "ledgerline"
+
+
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    path = f"{root.rstrip('/')}/{MANIFEST}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+
+
+def record_run(spark: SparkSession, root: str, run_tag: str, pipeline: str = PIPELINE) -> int:
+    """Enter the files that the manifest does not know yet, tagged with ``run_tag``; returns their number.
+
+    Run after a landing write.  Repeating it changes nothing.
+    """
+    root = root.rstrip("/")
+    if not path_exists(spark, root):
+        return 0
+    known = read_manifest(spark, root).select("path")
+    new = described_files(spark, root).join(known, "path", "left_anti")
+    new = new.withColumns({"pipeline": F.lit(pipeline), "run_tag": F.lit(run_tag)})
+    obs = Observation(f"manifest-{uuid.uuid4().hex[:8]}")
+    new.observe(obs, F.count(F.lit(1)).alias("files")).write.mode("append").parquet(f"{root}/{MANIFEST}")
+    return int(obs.get["files"])
+
+
 def load_summary(landed: DataFrame) -> DataFrame:
     """Per product: number of landed files and rows (from ``_source_file``)."""
     return landed.groupBy("product").agg(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 BRONZE_DDL = """
 CREATE TABLE IF NOT EXISTS {name} (
@@ -48,8 +51,9 @@ COMMENT 'Silver: cleaned, typed and enriched facts'
 """
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_database(spark: SparkSession, database: str, path: str | None = None) -> None:
+    """Create ``database`` unless it exists; ``path`` is where tables without a location of their own go."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} {_location(path)}")
 
 
 def _location(path: str | None) -> str:
@@ -64,6 +68,20 @@ def create_silver_table(spark: SparkSession, name: str, path: str | None = None)
     spark.sql(SILVER_DDL.format(name=name, location=_location(path)))
 
 
+def add_columns(spark: SparkSession, name: str, fields: Sequence[T.StructField]) -> None:
+    """Add the columns that table ``name`` does not have yet (old files read as NULL there)."""
+    have = {c.lower() for c in spark.table(name).columns}
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+
+
+def table_columns(spark: SparkSession, name: str) -> DataFrame:
+    """position, column_name, data_type of the columns of table ``name``, partition columns included."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(spark.table(name).schema.fields, 1)]
+    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Replace a Gold table, schema included (Gold tables are small and unpartitioned)."""
     writer = df.write.mode("overwrite").format("parquet")

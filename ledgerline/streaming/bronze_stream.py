@@ -9,14 +9,20 @@ daily catch-up runs without holding a cluster.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.bronze import unify
 from ledgerline.schemas import BRONZE_PARTITIONS, BRONZE_SCHEMA, LANDING_SCHEMA
 from ledgerline.session import path_exists
+from ledgerline.sources.growth import grown_columns, known_columns
 from ledgerline.sources.landing import product_path, with_landing_columns
+from ledgerline.sources.tables import add_columns
 
 # The file source skips files older than this against the newest one it has
 # seen; the default of a week loses late or time-preserving copies silently.
@@ -34,11 +40,15 @@ def finish(query: StreamingQuery, timeout_s: float | None) -> None:
 
 
 def landing_stream(
-    spark: SparkSession, landing_root: str, product: str | None = None, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    landing_root: str,
+    product: str | None = None,
+    max_files_per_trigger: int | None = None,
+    extra: Sequence[T.StructField] = (),
 ) -> DataFrame:
     """Streaming read of new landed Parquet files (both record kinds)."""
     reader = (
-        spark.readStream.schema(LANDING_SCHEMA)
+        spark.readStream.schema(T.StructType([*LANDING_SCHEMA.fields, *extra]))
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("maxFileAge", MAX_FILE_AGE)
@@ -48,10 +58,16 @@ def landing_stream(
     return with_landing_columns(reader.parquet(product_path(landing_root, product)))
 
 
-def bronze_stream(spark: SparkSession, landing_root: str, product: str | None = None,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+def bronze_stream(
+    spark: SparkSession,
+    landing_root: str,
+    product: str | None = None,
+    max_files_per_trigger: int | None = None,
+    extra: Sequence[T.StructField] = (),
+) -> DataFrame:
     """The Bronze rows of newly landed files (same transform as batch)."""
-    return unify(landing_stream(spark, landing_root, product, max_files_per_trigger))
+    landed = landing_stream(spark, landing_root, product, max_files_per_trigger, extra)
+    return unify(landed, extra=[f.name for f in extra])
 
 
 def ingest(
@@ -63,32 +79,67 @@ def ingest(
     max_files_per_trigger: int | None = 1000,
     timeout_s: float | None = None,
     table: str | None = None,
+    column_log: str | None = None,
+    batches: int | None = None,
 ) -> dict:
     """Append new landed files to the Bronze table at ``bronze_path`` and stop.
 
     With ``table`` the sink is that catalog table (created by
     :func:`ledgerline.sources.tables.create_bronze_table` or on first run)
-    instead of the bare path.  Returns the last progress report (metadata);
-    an empty dict when nothing has been landed for the selection yet.
+    instead of the bare path.  With ``column_log`` columns that landed files have
+    gained are appended too (see :mod:`ledgerline.sources.growth`); read the table
+    with ``read_bronze(..., column_log=...)``.  ``batches`` ends the run after at
+    least so many micro-batches although files may be left; the next run goes on
+    from the checkpoint.  Returns the last progress report (metadata); an empty
+    dict when nothing has been landed for the selection yet.
     """
-    if not path_exists(spark, product_path(landing_root, product)):
+    source = product_path(landing_root, product)
+    if not path_exists(spark, source):
         return {}
+    extra = grown_columns(spark, source, column_log) if column_log else []
+    if table and extra:
+        add_columns(spark, table, extra)
     writer = (
-        bronze_stream(spark, landing_root, product, max_files_per_trigger)
+        bronze_stream(spark, landing_root, product, max_files_per_trigger, extra)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint_path)
         .partitionBy(*BRONZE_PARTITIONS)
-        .trigger(availableNow=True)
     )
+    writer = writer.trigger(availableNow=True) if batches is None else writer.trigger(processingTime="0 seconds")
     query = writer.toTable(table) if table else writer.start(bronze_path)
-    finish(query, timeout_s)
+    if batches is None:
+        finish(query, timeout_s)
+    else:
+        _stop_after(query, batches, timeout_s)
     return query.lastProgress or {}
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Batch read of the Bronze table (explicit schema: ``date=`` mixes days and months)."""
-    return spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path)
+def _stop_after(query: StreamingQuery, batches: int, timeout_s: float | None) -> None:
+    """Stop once ``batches`` micro-batches are committed or no files are left."""
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    while query.isActive:
+        done = [p for p in query.recentProgress if p["numInputRows"] > 0]
+        idle = query.lastProgress is not None and not query.status["isDataAvailable"]
+        if len(done) >= batches or (done and idle and not query.status["isTriggerActive"]):
+            break
+        if deadline is not None and time.monotonic() > deadline:
+            query.stop()
+            raise TimeoutError(f"stream did not commit {batches} micro-batches within {timeout_s} s")
+        query.awaitTermination(0.2)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def read_bronze(spark: SparkSession, bronze_path: str, column_log: str | None = None) -> DataFrame:
+    """Batch read of the Bronze table (explicit schema: ``date=`` mixes days and months).
+
+    With ``column_log`` the columns gained over time are read as well; files that
+    were written before a column was known have NULL there.
+    """
+    extra = known_columns(spark, column_log) if column_log else []
+    return spark.read.schema(T.StructType([*BRONZE_SCHEMA.fields, *extra])).parquet(bronze_path)
 
 
 def bronze_row_count(spark: SparkSession, bronze_path: str) -> DataFrame:

@@ -2,17 +2,24 @@
 
 Each micro-batch is transformed, deduplicated on the Silver key and merged
 into the Silver table with the partition-scoped upsert.  A batch replayed
-after a failure merges the same rows again, which changes nothing (for
-non-NULL keys), so the sink is effectively exactly-once.
+after a failure merges the same rows again, which changes nothing for non-NULL
+keys; a batch that the change log already holds is skipped, so rows with a NULL
+key are not inserted again either.
+
+The change log names batches by (stream id, batch id).  The id belongs to the
+checkpoint: a new checkpoint counts its batches from 0 again and gets a new id,
+so readers of the log cannot mistake its batches for earlier ones.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.dedupe import DEFAULT_ORDER
 from ledgerline.operators.silver import transform
 from ledgerline.operators.upsert import upsert
 from ledgerline.schemas import SILVER_PARTITIONS
@@ -20,6 +27,22 @@ from ledgerline.session import path_exists
 from ledgerline.streaming.bronze_stream import BRONZE_SCHEMA, MAX_FILE_AGE, finish
 
 
+CHANGES_SCHEMA = "product string, year int, month int, stream_id string, batch_id long"
+
+
+def stream_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id of the stream that a checkpoint belongs to; made with the checkpoint."""
+    path = f"{checkpoint_path.rstrip('/')}/stream_id"
+    if not path_exists(spark, path):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "id string").coalesce(1).write.parquet(path)
+    return spark.read.schema("id string").parquet(path).first()["id"]
+
+
+def read_changes(spark: SparkSession, changes_path: str) -> DataFrame:
+    """The log of Silver partitions rewritten by each batch."""
+    return spark.read.schema(CHANGES_SCHEMA).parquet(changes_path)
+
+
 def upsert_stream(
     spark: SparkSession,
     bronze_path: str,
@@ -31,6 +54,7 @@ def upsert_stream(
     timeout_s: float | None = None,
     partitions: Sequence[str] = SILVER_PARTITIONS,
     changes_path: str | None = None,
+    order: Sequence[str] = DEFAULT_ORDER,
 ) -> None:
     """Merge new Bronze rows into the Silver table at ``silver_path``.
 
@@ -39,10 +63,10 @@ def upsert_stream(
     rewrite of a daily increment to the touched days instead of whole months.
     Does nothing while the Bronze table does not exist yet.
 
-    With ``changes_path`` every micro-batch appends the Silver partitions it
-    rewrote, tagged with its batch id, after its upsert succeeded (a replayed
-    batch logs them again, which is harmless); the incremental Gold refresh
-    reads that log.
+    ``order`` decides which row of a key is the newest, whatever the micro-batch
+    it came in.  With ``changes_path`` (Silver layout product, year, month) every
+    micro-batch appends the partitions it rewrote, tagged with stream and batch
+    id, after its upsert succeeded; the incremental Gold refresh reads that log.
     """
     if not path_exists(spark, bronze_path):
         return
@@ -51,14 +75,25 @@ def upsert_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     bronze = reader.parquet(bronze_path)
 
+    own = stream_id(spark, checkpoint_path) if changes_path else None
+
+    def logged(epoch: int) -> bool:
+        if not path_exists(spark, changes_path):
+            return False
+        same = (F.col("stream_id") == own) & (F.col("batch_id") == epoch)
+        return not read_changes(spark, changes_path).where(same).isEmpty()
+
     def merge_batch(batch: DataFrame, epoch: int) -> None:
+        if changes_path and logged(epoch):
+            return
         info = upsert(
-            transform(batch, month_grain), silver_path, partitions=partitions, null_safe=null_safe, matched="newest"
+            transform(batch, month_grain), silver_path, partitions=partitions, null_safe=null_safe,
+            matched="newest", order=order,
         )
         if changes_path:
-            info["touched"].withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("append").parquet(
-                changes_path
-            )
+            tagged = info["touched"].select(*SILVER_PARTITIONS).distinct()
+            tagged = tagged.withColumn("stream_id", F.lit(own)).withColumn("batch_id", F.lit(epoch).cast("long"))
+            tagged.coalesce(1).write.mode("append").parquet(changes_path)
 
     query = (
         bronze.writeStream.foreachBatch(merge_batch)
