@@ -117,16 +117,16 @@ def gold_marts(silver: DataFrame) -> dict[str, DataFrame]:
 def write_counted(df: DataFrame, path: str, name: str) -> int:
     """Overwrite ``path`` with mart ``name`` in its stored order; return the row count observed by the write."""
     obs = Observation(name)
-    rows = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    gold.in_stored_order(name, rows).write.mode("overwrite").parquet(path)
+    ordered = gold.in_stored_order(name, df)  # observed behind the sort, whose sampling reads its input twice
+    ordered.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return int(obs.get["rows"])
 
 
 def write_counted_table(df: DataFrame, path: str, table: str) -> int:
     """Replace catalog table ``table`` (a mart, data at ``path``), schema included; return the observed row count."""
     obs = Observation(table)
-    rows = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    tables.overwrite_table(gold.in_stored_order(table.rsplit(".", 1)[-1], rows), table, path)
+    ordered = gold.in_stored_order(table.rsplit(".", 1)[-1], df)
+    tables.overwrite_table(ordered.observe(obs, F.count(F.lit(1)).alias("rows")), table, path)
     return int(obs.get["rows"])
 
 

@@ -68,3 +68,36 @@ def test_request_window_prunes_directories(spark, docs_root):
     p = docs._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in p and "request_day" in p
     assert docs.count() == 2
+
+
+def test_malformed_lines_are_counted_and_files_recorded(spark, docs_root, tmp_dir):
+    with open(f"{docs_root}/infrastructure/request_day=2024-01-06/part-0.json", "a") as f:
+        f.write("{not json\n")
+    with open(f"{docs_root}/estimated_cost/part-0.json", "a") as f:
+        f.write("nor this\n\n")
+    out = f"{tmp_dir}/raw"
+    for dry in (True, False):
+        rows = run_extract(spark, docs_root, out, "2024-01-06", days=2, dry_run=dry, run_tag="r1").collect()
+        assert {r.product: r.malformed for r in rows} == {"infrastructure": 1, "apm": 0, "estimated_cost": 1}
+    manifest = landing.read_manifest(spark, out)
+    assert {(r.product, r.period, r.rows, r.run_tag) for r in manifest.collect()} == {
+        ("infrastructure", "2024-01-05", 2, "r1"), ("infrastructure", "2024-01-06", 2, "r1"),
+        ("apm", "2024-01-06", 1, "r1"), ("estimated_cost", "2024-01", 1, "r1"),
+    }
+    assert landing.record_run(spark, out, "r2") == 0  # nothing new
+    run_extract(spark, docs_root, out, "2024-01-01", days=0, product="infrastructure", run_tag="r2")
+    manifest = landing.read_manifest(spark, out)
+    assert manifest.where("run_tag = 'r2'").count() == 1 and manifest.count() == 5
+    assert landing.read_landing(spark, out).count() == 8  # the manifest is no landed data
+
+
+def test_cost_months_prune_directories(spark, tmp_dir):
+    from ledgerline.sources.payload import read_cost_payloads
+
+    for month in ("2023-12", "2024-01"):
+        put(f"{tmp_dir}/estimated_cost/request_month={month}",
+            [{"data": [{"attributes": {"date": f"{month}-01", "charges": [{"cost": 2}]}}]}])
+    docs = read_cost_payloads(spark, f"{tmp_dir}/estimated_cost", request_months=("2024-01", "2024-01"))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "request_month" in plan
+    assert docs.count() == 1
