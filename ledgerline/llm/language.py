@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.rows import free_name
 from ledgerline.llm.text import Run, chunks, folded
 from ledgerline.llm.workers import ship
 
@@ -95,15 +96,13 @@ class CrossParser:
         tables, self.roots, base = [], [], 0
         for lang in self.languages:
             states = suffix_automaton(samples[lang])
-            root = np.full(width, base | _FLAG, np.int32)  # an unseen byte is a phrase end
+            root = np.full(width, base | _FLAG, np.int32)  # a byte this language lacks is a phrase end
             root[self.pad] = base
             table = np.empty((len(states), width), np.int32)
             for byte, state in states[0].items():
                 root[self.code[byte]] = (base + state * width) | _FLAG
             table[:] = root
-            table[0] = root & ~_FLAG  # leaving the start state ends no phrase
-            table[0, self.unseen] |= _FLAG
-            for i, moves in enumerate(states):
+            for i, moves in enumerate(states):  # the start state's own moves end no phrase
                 for byte, state in moves.items():
                     table[i, self.code[byte]] = base + state * width
             tables.append(table.ravel())
@@ -210,25 +209,28 @@ def predict(
     """Add the predicted language and its score; columns of those names are replaced."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in (lang_col, score_col)]
-    at = kept.index(text)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         parser = shared.value
-        for batch in batches:
+        for column in texts:
             names: list[str] = []
             scores = [np.zeros(0)]
-            for run in chunks(batch.column(at)):
+            for run in chunks(column):
                 got, s = parser.predict(run, _letters(run))
                 names += got
                 scores.append(s)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(np.concatenate(scores))],
-                names=[*kept, lang_col, score_col],
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(np.concatenate(scores))], names=["lang", "score"]
             )
 
-    schema = docs.select(*kept).schema.add(lang_col, "string").add(score_col, "double")
-    return docs.select(*kept).mapInArrow(score, schema)
+    # only the text goes to the workers and only the verdict comes back
+    verdict = F.arrow_udf(score, "lang string, score double")
+    kept = [c for c in docs.columns if c not in (lang_col, score_col)]
+    own = free_name("verdict", kept)
+    found = docs.select(*kept, verdict(F.col(text).cast("string")).alias(own))
+    return found.select(
+        *kept, F.col(own)["lang"].alias(lang_col), F.col(own)["score"].alias(score_col)
+    )
 
 
 def fold(key: str = "doc_id", n: int = 3) -> Column:
