@@ -155,8 +155,12 @@ def ratio(token: Column, model: list[float]) -> Column:
 
 
 def samples_from(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Labelled tokens of a bounded sample: base values are random, other identifiers ordinary."""
-    rows = docs.select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("text"))
+    """Labelled tokens of a bounded sample: base values are random, other identifiers ordinary.
+
+    The sample are the ``SAMPLE_DOCS`` documents of least hash of key and text; rows
+    that repeat both are one document.
+    """
+    rows = docs.select(F.xxhash64(F.col(key), F.col(text)).alias("h"), F.col(text).alias("text"))
     body = F.col("text")
     some = (
         body.contains("AKIA") & body.rlike(ACCESS)
@@ -165,8 +169,9 @@ def samples_from(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     )
     rows = rows.where(some)
     # the hash of the last row to take; only hashes are gathered, not texts
-    last = rows.select("h").orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    last = rows.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
     rows = rows.where(F.col("h") <= F.lit(0 if last is None else last))
+    rows = rows.groupBy("h").agg(F.first("text").alias("text"))
     rows = rows.select("text", base_spans(F.col("text")).alias("spans"))
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     value = F.transform(
