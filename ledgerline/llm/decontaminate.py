@@ -252,21 +252,22 @@ def drop_leaks(
     """
     spark = docs.sparkSession
     ship(spark)
-    at = docs.columns.index(text)
 
     def one_pass(rows: DataFrame, part: DataFrame) -> DataFrame:
         held = _hold(part)
 
-        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             matcher = Matcher(held.value)
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for run in chunks(batch.column(at)):
+            for column in texts:
+                keep = np.ones(len(column), bool)
+                for run in chunks(column):
                     for found in matcher.search(run):
                         keep[run.first + found[0]] = False
-                yield batch.filter(pa.array(keep))
+                yield pa.array(keep)
 
-        return rows.mapInArrow(clean, docs.schema)
+        # only the text goes to the workers and only the verdict comes back
+        verdict = F.arrow_udf(clean, "boolean")
+        return rows.where(verdict(F.col(text).cast("string")))
 
     first, *others = _blocks(items, item_text, item_key)
     left, path = one_pass(docs, first), None

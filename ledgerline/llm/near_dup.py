@@ -10,7 +10,7 @@ no word: the empty set, linked with nothing).  Documents are linked when
    sketch: each of ``SAMPLES`` MinHash samples (function, value) flips one bit
    of a ``SKETCH_BITS`` bitmap, so the XOR of two sketches counts the samples
    in which two documents differ.
-2. Equal sets become one class, held by its smallest doc_id (a grouped minimum).
+2. Equal sets become one numbered class, confirmed by one text of its smallest doc_id.
 3. Classes that share a band meet at the band's smallest member (a star, not all
    pairs); each class starts with one such pair.  A pair goes on if its sizes can
    reach the threshold and the XOR population count of its sketches is at most
@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
+from ledgerline.llm.rows import free_name, numbered
 from ledgerline.llm.text import ID_BITS, chunks, mix, shingle_sets, words
 from ledgerline.llm.workers import ship
 from ledgerline.operators.staging import broadcast_if_small, stage
@@ -55,13 +56,15 @@ SAMPLES, SKETCH_BITS = 1024, 2048
 # 403 at similarity 0.75 (d = 256), with a standard deviation of about 20.4 over both draws.
 MAX_XOR = 485
 SKETCH_ROWS = 256  # documents folded at once
+BAND_PART = 512  # members of a band that one task compares with the whole band
 
 _rng = np.random.RandomState(5)
 _MUL = (_rng.randint(0, 1 << 31, SAMPLES).astype(np.uint32) << np.uint32(1)) | np.uint32(1)
 _XOR = _rng.randint(0, 1 << 32, SAMPLES, dtype=np.int64).astype(np.uint32)
 
 SIGNATURE = (
-    "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
+    "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, "
+    "bands array<bigint>, sketch array<bigint>"
 )
 
 
@@ -127,20 +130,22 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(run.first, run.n_rows),
+                    batch.column(2).slice(run.first, run.n_rows),
                     pa.array(size.astype(np.int64)),
                     pa.array(set_a.view(np.int64)),
                     pa.array(set_b.view(np.int64)),
                     _lists(bands, has),
                     _lists(sketch, has),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
+                names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "sketch"],
             )
 
 
 def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Set size, set checksum, band hashes and odd sketch of every document."""
+    """Text hash, set size, set checksum, band hashes and odd sketch of every document."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    body = F.col(text).cast("string")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("hash"))
     return rows.mapInArrow(_sign, SIGNATURE)
 
 
@@ -179,11 +184,12 @@ def similar(sketch_a: Column, sketch_b: Column, n_a: Column, n_b: Column) -> Col
     return (100 * F.least(n_a, n_b) >= 75 * F.greatest(n_a, n_b)) & (differing <= MAX_XOR)
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Confirm candidate pairs (a, b) on the whole texts of both."""
-    wanted = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "wanted")
+def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Confirm candidate pairs (a, b) of classes on one whole text of each."""
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = stage(classes.select("id", "doc_id", "text_hash").join(wanted, "id", "left_semi"), "wanted")
     wanted, _ = broadcast_if_small(wanted)  # so that the other texts need no shuffle
-    rows = texts.join(wanted, "id", "left_semi")
+    rows = texts.join(wanted, ["doc_id", "text_hash"]).groupBy("id").agg(F.first("text").alias("text"))
     both = pairs.join(rows.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         rows.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
     )
@@ -199,19 +205,24 @@ def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
+    body = F.col(text).cast("string")
+    rows = docs.select(
+        F.col(key).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("text_hash")
+    ).where("doc_id is not null")
     signed = stage(signatures(docs, text, key), "signatures")
 
+    # a class of equal sets has a number and one text, however many rows repeat an id or a text
     sets = signed.where("n_shingles > 0 and doc_id is not null")
     same = ["set_a", "set_b", "n_shingles"]
-    classes = sets.groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    classes = sets.groupBy(*same).agg(F.min("doc_id").alias("doc_id"))
+    classes = classes.withColumn("id", F.monotonically_increasing_id())
     classes = stage(classes, "class-keys")  # read from files, so that the join below can split a hot class
-    member = sets.select("doc_id", *same).join(classes, same).select("doc_id", "rep").distinct()
+    member = sets.select("doc_id", *same).join(classes.select("id", *same), same).select("doc_id", "id").distinct()
     member = stage(member, "members")
     reps = (
-        sets.join(classes.withColumnRenamed("rep", "doc_id"), [*same, "doc_id"], "left_semi")
-        .dropDuplicates([*same, "doc_id"])
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "sketch")
+        sets.join(classes, [*same, "doc_id"])
+        .dropDuplicates(["id"])
+        .select("id", "doc_id", "text_hash", F.col("n_shingles").alias("n"), "bands", "sketch")
     )
     reps = stage(reps, "classes")
     sketches = reps.select("id", "n", "sketch")
@@ -234,7 +245,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     centres = banded.groupBy("band").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     stars = banded.join(centres.select("band", "a"), "band").where("id <> a")
     tested = sifted(stars.groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).select("a", "b"))
-    roots = components(stage(_links(tested, rows), "links"))
+    roots = components(stage(_links(tested, rows, reps), "links"))
 
     def open_members() -> DataFrame:
         """(band, id, root) of the bands whose members lie in several components."""
@@ -244,24 +255,34 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         several = (
             rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
         )
-        return stage(rooted.join(several.select("band"), "band", "left_semi"), "open-bands")
+        several, _ = broadcast_if_small(stage(several.select("band"), "open-bands"))
+        return stage(rooted.join(several, "band", "left_semi"), "open-bands")
 
     # members not in the component of their band's smallest: a pair with each such smallest
     rest = open_members()
-    first = rest.groupBy("band").agg(F.min(F.struct("id", "root")).alias("first"))
-    stars = rest.join(first, "band").where("root <> first.root")
-    pairs = stars.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
+    first = rest.groupBy("band").agg(F.min("id").alias("a"), F.min_by("root", "id").alias("root_a"))
+    first, _ = broadcast_if_small(stage(first, "open-bands"))  # so that a hot band is not one task's
+    stars = rest.join(first, "band").where("root <> root_a")
+    pairs = stars.select("a", F.col("id").alias("b")).distinct()
     pairs = sifted(pairs.join(tested, ["a", "b"], "left_anti"))
     tested = tested.union(pairs)
-    roots = _grown(roots, stage(_links(pairs, rows), "links"))
+    roots = _grown(roots, stage(_links(pairs, rows, reps), "links"))
 
-    # members of one band that are still in different components, each with each
-    rest = stage(open_members().join(reps, "id"), "open-bands")
+    # members of one band that are still in different components, each with each: every part of
+    # BAND_PART members meets the whole band in a task of its own
+    rest = open_members()
+    wide = rest.groupBy("band").count().where(F.col("count") > BAND_PART)
+    wide = stage(wide.select("band", F.ceil(F.col("count") / BAND_PART).cast("long").alias("parts")), "open-bands")
+    wide, _ = broadcast_if_small(wide)
+    rest = rest.join(wide, "band", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    rest = stage(rest.join(reps.drop("doc_id", "text_hash"), "id"), "open-bands")
     side = ("id", "root", "n", "sketch", "bands")
-    one = rest.select("band", "at", *(F.col(c).alias(f"{c}_a") for c in side))
-    two = rest.select("band", *(F.col(c).alias(f"{c}_b") for c in side))
+    part = F.pmod(F.xxhash64("id"), "parts")
+    one = rest.select("band", part.alias("part"), "at", *(F.col(c).alias(f"{c}_a") for c in side))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    two = rest.select("band", every.alias("part"), *(F.col(c).alias(f"{c}_b") for c in side))
     shared = F.zip_with("bands_a", "bands_b", lambda x, y: x == y)
-    across = one.join(two, "band").where(
+    across = one.join(two, ["band", "part"]).where(
         (F.col("id_a") < F.col("id_b"))
         & (F.col("root_a") != F.col("root_b"))
         & similar(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b"))
@@ -269,19 +290,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     )
     across = across.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     across = stage(across.join(tested, ["a", "b"], "left_anti"), "candidates")
-    roots = _grown(roots, stage(_links(across, rows), "links"))
+    roots = _grown(roots, stage(_links(across, rows, reps), "links"))
 
     # one doc_id that carries several sets joins their classes
-    split = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
+    split = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
     if not split.isEmpty():
-        extra = member.join(split.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
+        extra = member.join(split.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b"))
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(extra))
 
+    # a component is named by its smallest doc_id
+    rooted = classes.select("id", "doc_id").join(roots, F.col("id") == F.col("node"), "left")
+    rooted = rooted.select("id", "doc_id", F.coalesce("root", "id").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+    least, _ = broadcast_if_small(stage(least.select("root", "least"), "least"))
+    named = rooted.join(least, "root", "left").select("id", F.coalesce("least", "doc_id").alias("component"))
     placed = (
-        member.groupBy("doc_id")
-        .agg(F.min("rep").alias("rep"))
-        .join(roots, F.col("rep") == F.col("node"), "left")
-        .select("doc_id", F.coalesce("root", "rep").alias("component"))
+        member.groupBy("doc_id").agg(F.min("id").alias("id")).join(stage(named, "named"), "id").drop("id")
     )
     component = F.coalesce("component", "doc_id")
     return signed.join(placed, "doc_id", "left").select(
@@ -301,16 +325,17 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     one of the smallest hash).  Rows that repeat both its key and its text are
     the same document and stay with it.
     """
-    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # row ids from files
-    found = near_duplicates(rows, text, "__row").where("n_shingles > 0")
-    named = rows.select("__row", F.col(key).alias("__key"), F.xxhash64(text).alias("__hash"))
-    placed = found.select(F.col("doc_id").alias("__row"), "component_id").join(named, "__row")
+    row, own, text_hash = (free_name(c, docs.columns) for c in ("__row", "__key", "__hash"))
+    rows = numbered(docs, row)
+    found = near_duplicates(rows, text, row).where("n_shingles > 0")
+    named = rows.select(row, F.col(key).alias(own), F.xxhash64(text).alias(text_hash))
+    placed = found.select(F.col("doc_id").alias(row), "component_id").join(named, row)
     placed = stage(placed, "placed")
-    first = F.min(F.struct(F.isnull("__key").alias("none"), "__key", "__hash", "__row")).alias("first")
+    first = F.min(F.struct(F.isnull(own).alias("none"), F.col(own).alias("key"), text_hash, row)).alias("first")
     groups = placed.groupBy("component_id").agg(first, F.count("*").alias("n")).where("n > 1")
     groups = stage(groups.select("component_id", "first"), "groups")  # files, so that AQE splits a hot group
-    same = (F.col("__key") == F.col("first.__key")) & (F.col("__hash") == F.col("first.__hash"))
-    stays = (F.col("__row") == F.col("first.__row")) | F.coalesce(same, F.lit(False))
-    gone = stage(placed.join(groups, "component_id").where(~stays).select("__row"), "gone")
+    same = (F.col(own) == F.col("first.key")) & (F.col(text_hash) == F.col(f"first.{text_hash}"))
+    stays = (F.col(row) == F.col(f"first.{row}")) | F.coalesce(same, F.lit(False))
+    gone = stage(placed.join(groups, "component_id").where(~stays).select(row), "gone")
     gone, _ = broadcast_if_small(gone)  # so that the texts need no shuffle
-    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
+    return rows.join(gone, row, "left_anti").select(*docs.columns)

@@ -16,9 +16,14 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+# A batch of rows on its way to a worker and back is held several times over (JVM,
+# pipe, worker) by every running task.
+BATCH_BYTES = 8 << 20
+
 
 def ship(spark: SparkSession) -> None:
-    """Add the package's sources to the application (once for each application)."""
+    """Add the package's sources to the application (once) and bound the batches sent to workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
