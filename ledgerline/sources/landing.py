@@ -18,6 +18,7 @@ third of the rows) over several tasks instead of funnelling it through one.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -181,6 +182,25 @@ def file_audit(spark: SparkSession, root: str, product: str | None = None) -> Da
     return files
 
 
+def renew_times(spark: SparkSession, root: str, days: float) -> int:
+    """Give landed files older than ``days`` the present modification time; returns their number.
+
+    For a landing tree whose read files are archived: what is left there and old was
+    brought late or by a time-preserving copy, and a file stream would pass it over.
+    Only such files reach the driver.  (Object stores date a file by its upload, so
+    there are none there; a file system that cannot set times raises.)
+    """
+    now = dt.datetime.now(dt.timezone.utc)
+    old = file_audit(spark, root).where(F.col("last_modified") < F.lit(now - dt.timedelta(days=days)))
+    paths = [r["path"] for r in old.select("path").collect()]
+    sc = spark.sparkContext
+    for path in paths:
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.setTimes(jpath, int(now.timestamp() * 1000), -1)
+    return len(paths)
+
+
 PERIOD_PATTERN = r"/year=(\d+)/month=(\d+)(?:/day=(\d+))?/"
 
 

@@ -20,14 +20,22 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.operators.bronze import unify
 from ledgerline.schemas import BRONZE_PARTITIONS, BRONZE_SCHEMA, LANDING_SCHEMA
 from ledgerline.session import path_exists
+from ledgerline.sources import landing
 from ledgerline.sources.growth import grown_columns, known_columns
 from ledgerline.sources.landing import product_path, with_landing_columns
 from ledgerline.sources.tables import add_columns
 
 # The file source skips files older than this against the newest one it has
 # seen; the default of a week loses late or time-preserving copies silently.
+# It remembers the names of all younger files, so without an archive it has to
+# remember every file for ever.
 MAX_FILE_AGE = "36500d"
 
+# With an archive, files that were read leave the landing tree, so that a listing
+# and the names remembered are those of this many days.  A file that is still
+# there and older is one that was not read: it gets the present time first.
+ARCHIVED_FILE_DAYS = 7
+
 
 def finish(query: StreamingQuery, timeout_s: float | None) -> None:
     """Wait for the end of an availableNow query; a timeout is an error, not an end."""
@@ -45,14 +53,21 @@ def landing_stream(
     product: str | None = None,
     max_files_per_trigger: int | None = None,
     extra: Sequence[T.StructField] = (),
+    archive: str | None = None,
 ) -> DataFrame:
-    """Streaming read of new landed Parquet files (both record kinds)."""
+    """Streaming read of new landed Parquet files (both record kinds).
+
+    With ``archive`` files are moved below that folder once the batch that read
+    them is committed (at the latest by the next batch).
+    """
     reader = (
         spark.readStream.schema(T.StructType([*LANDING_SCHEMA.fields, *extra]))
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .option("maxFileAge", MAX_FILE_AGE)
+        .option("maxFileAge", f"{ARCHIVED_FILE_DAYS}d" if archive else MAX_FILE_AGE)
     )
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return with_landing_columns(reader.parquet(product_path(landing_root, product)))
@@ -64,9 +79,10 @@ def bronze_stream(
     product: str | None = None,
     max_files_per_trigger: int | None = None,
     extra: Sequence[T.StructField] = (),
+    archive: str | None = None,
 ) -> DataFrame:
     """The Bronze rows of newly landed files (same transform as batch)."""
-    landed = landing_stream(spark, landing_root, product, max_files_per_trigger, extra)
+    landed = landing_stream(spark, landing_root, product, max_files_per_trigger, extra, archive)
     return unify(landed, extra=[f.name for f in extra])
 
 
@@ -81,6 +97,7 @@ def ingest(
     table: str | None = None,
     column_log: str | None = None,
     batches: int | None = None,
+    archive: str | None = None,
 ) -> dict:
     """Append new landed files to the Bronze table at ``bronze_path`` and stop.
 
@@ -90,8 +107,11 @@ def ingest(
     gained are appended too (see :mod:`ledgerline.sources.growth`); read the table
     with ``read_bronze(..., column_log=...)``.  ``batches`` ends the run after at
     least so many micro-batches although files may be left; the next run goes on
-    from the checkpoint.  Returns the last progress report (metadata); an empty
-    dict when nothing has been landed for the selection yet.
+    from the checkpoint.  With ``archive`` (a folder outside the landing tree, on
+    the same file system) files that were read are moved there, so the landing
+    tree holds what is not read yet; unread files of any age are still read.
+    Returns the last progress report (metadata); an empty dict when nothing has
+    been landed for the selection yet.
     """
     source = product_path(landing_root, product)
     if not path_exists(spark, source):
@@ -99,8 +119,10 @@ def ingest(
     extra = grown_columns(spark, source, column_log) if column_log else []
     if table and extra:
         add_columns(spark, table, extra)
+    if archive:
+        landing.renew_times(spark, source, days=ARCHIVED_FILE_DAYS / 2)
     writer = (
-        bronze_stream(spark, landing_root, product, max_files_per_trigger, extra)
+        bronze_stream(spark, landing_root, product, max_files_per_trigger, extra, archive)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint_path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import shutil
 
 import pytest
@@ -56,6 +57,24 @@ def test_library_columns_are_not_taken_from_files(spark, tmp_dir):
     assert growth.grown_columns(spark, f"{tmp_dir}/raw", f"{tmp_dir}/log") == found  # known by now
 
 
+def test_read_files_are_archived_and_late_ones_still_read(spark, tmp_dir):
+    root, bronze, ckpt, archive = (f"{tmp_dir}/{n}" for n in ("raw", "bronze", "ckpt", "archive"))
+    left = []
+    for day in range(1, 6):
+        known = {r.path for r in landing.file_audit(spark, root).collect()} if day > 1 else set()
+        landing.write_usage(usage(spark, f"2024-01-{day:02d}").coalesce(1), root)
+        if day in (3, 4):  # a time-preserving copy of an old file
+            new = {r.path for r in landing.file_audit(spark, root).collect()} - known
+            for path in new:
+                os.utime(path.replace("file:", ""), (1.5e9, 1.5e9))
+        ingest(spark, root, bronze, ckpt, timeout_s=120, archive=archive)
+        left.append(landing.file_audit(spark, root).count())
+    assert sorted(r.date for r in read_bronze(spark, bronze).collect()) == [f"2024-01-{d:02d}" for d in range(1, 6)]
+    assert max(left) <= 2  # the files of the last batch, at most; without an archive 5
+    moved = [f for _, _, files in os.walk(archive) for f in files if f.endswith(".parquet")]
+    assert len(moved) + left[-1] == 5
+
+
 def test_run_cut_short_is_resumed(spark, tmp_dir):
     root, bronze, ckpt = (f"{tmp_dir}/{n}" for n in ("raw", "bronze", "ckpt"))
     for day in range(1, 7):
