@@ -2,12 +2,15 @@
 
 The counts (words, word characters, symbols, repeated lines, repeated 3-word
 windows) fail a document outright.  The rest is judged by a logistic regression
-over hashed word and character n-grams (words, and runs of four bytes, each
-into ``WIDTH`` weights), trained on labelled quality rows, calibrated on rows
-that the weights have not seen, scored in Arrow batches against ``KEEP``.
+over hashed n-grams: 1 and 2 words, and 3, 4 and 5 characters (code points, blanks
+included), each into one of ``WIDTH`` cells of its own kind.  A document's feature
+is the share that a cell has in its n-grams of one kind, so its score is a mean of
+weights.  The model is trained on labelled quality rows, calibrated on rows that
+the weights have not seen, and scored in Arrow batches against ``KEEP``.
 
-Fitting uses up to ``SAMPLE`` labelled documents chosen by hash, however many
-documents have no label; scoring reads every whole text.
+Fitting uses up to ``SAMPLE`` labelled documents chosen by hash, and of these as
+many as have ``ENTRIES`` distinct cells together (what the driver holds), however
+many documents have no label; scoring reads every whole text.
 
 Defined results: null text is an empty text (fails); without labels of both
 kinds the model keeps what the counts keep; rows are kept one for one.
@@ -20,43 +23,76 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerline.llm.quality import counts, labelled_sample, sigmoid
-from ledgerline.llm.text import Run, Words, chunks, mix, words
+from ledgerline.llm.text import Run, Words, chunks, window_hashes, words
 from ledgerline.llm.workers import ship
+from ledgerline.operators.staging import stage
 
 SAMPLE = 12_000
-WIDTH = 1024  # weights of each kind of n-gram
+ENTRIES = 16_000_000
+WIDTH = 1 << 16  # cells of the word n-grams, and again of the character n-grams
+KINDS = 2
+SCALE = 16.0  # brings shares to the size of weights
 KEEP = 0.3
-STEPS = 400
-RATE = 0.02
-DECAY = 1e-3
-
-
-def _grams(run: Run, w: Words) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(weight index, row) of the words and of the four-byte runs inside each row."""
-    d = run.data.astype(np.uint32)
-    n = len(d) - 3
-    if n <= 0:
-        four, row = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    else:
-        packed = d[:n] | d[1 : n + 1] << 8 | d[2 : n + 2] << 16 | d[3:] << 24
-        four = ((packed * np.uint32(2654435761)) >> np.uint32(22)).astype(np.int64) % WIDTH + WIDTH
-        row = np.repeat(np.arange(run.n_rows), np.diff(run.offsets))
-        whole = row[:n] == row[3:]
-        four, row = four[whole], row[:n][whole]
-    word = (mix(w.hash) % np.uint64(WIDTH)).astype(np.int64)
-    return [(word, w.row), (four, row)]
-
-
-def features(run: Run) -> np.ndarray:
-    """Square roots of n-gram shares, ``2 * WIDTH`` columns."""
-    out = np.zeros((run.n_rows, 2 * WIDTH), np.float32)
-    for index, row in _grams(run, words(run)):
-        total = np.bincount(row, minlength=run.n_rows)
-        flat = np.bincount(row * (2 * WIDTH) + index, minlength=run.n_rows * 2 * WIDTH)
-        out += flat.reshape(run.n_rows, -1) / np.maximum(1, total)[:, None]
-    return np.sqrt(out)
+EPOCHS = 16
+BATCH = 128
+RATE = 0.003
+DECAY = 1e-6
+
+
+def _code_points(run: Run) -> tuple[np.ndarray, np.ndarray]:
+    """Value and row of every character (32-bit values that differ between characters)."""
+    d = run.data
+    first = np.flatnonzero((d & 0xC0) != 0x80)
+    value = d[first].astype(np.uint32)
+    length = np.diff(np.concatenate([first, [len(d)]]))
+    for k in range(1, 4):
+        longer = np.flatnonzero(length > k)
+        value[longer] = value[longer] << np.uint32(8) | d[first[longer] + k]
+    per_row = np.diff(np.searchsorted(first, run.offsets))
+    return value, np.repeat(np.arange(run.n_rows), per_row)
+
+
+def _cells(hashed: np.ndarray) -> np.ndarray:
+    return ((hashed ^ (hashed >> np.uint32(15))) * np.uint32(2654435761) >> np.uint32(16)).astype(np.int64)
+
+
+def _grams(run: Run, w: Words) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+    """For each kind, the (cell, row) lists of its n-grams, rows in order."""
+    pair, hashed = window_hashes(w, 2)
+    word = [(w.hash, w.row), (hashed, w.row[pair])]
+    by_word = [((h >> np.uint64(48)).astype(np.int64), row) for h, row in word]
+    value, row = _code_points(run)
+    rolled, by_char = value, []
+    for n in range(2, 6):
+        rolled = rolled[:-1] * np.uint32(0x9E3779B1) + value[n - 1 :]
+        if n >= 3:
+            whole = row[: len(rolled)] == row[n - 1 :]
+            by_char.append((_cells(rolled + np.uint32(n))[whole] + WIDTH, row[: len(rolled)][whole]))
+    return [by_word, by_char]
+
+
+def _totals(kind: list[tuple[np.ndarray, np.ndarray]], n_rows: int) -> np.ndarray:
+    return sum(np.bincount(row, minlength=n_rows) for _, row in kind)
+
+
+def features(run: Run) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct cells of each row and their (scaled) shares."""
+    keys, shares = [], []
+    for kind in _grams(run, words(run)):
+        total = np.maximum(1, _totals(kind, run.n_rows))
+        every = np.concatenate([row * (KINDS * WIDTH) + cell for cell, row in kind])
+        key, count = np.unique(every, return_counts=True)
+        keys.append(key)
+        shares.append(SCALE * count / total[key // (KINDS * WIDTH)])
+    key, share = np.concatenate(keys), np.concatenate(shares).astype(np.float32)
+    order = np.argsort(key, kind="stable")
+    key, share = key[order], share[order]
+    cut = np.searchsorted(key, np.arange(run.n_rows + 1) * (KINDS * WIDTH))
+    cell = (key % (KINDS * WIDTH)).astype(np.int32)
+    return [(cell[a:b], share[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
 
 
 class Model:
@@ -65,46 +101,89 @@ class Model:
     def __init__(self, weights: np.ndarray, slope: float, shift: float):
         self.weights, self.slope, self.shift = weights, slope, shift
 
+    def output(self, run: Run) -> np.ndarray:
+        out = np.zeros(run.n_rows)
+        for kind in _grams(run, words(run)):
+            total = sum(np.bincount(row, weights=self.weights[cell], minlength=run.n_rows) for cell, row in kind)
+            out += SCALE * total / np.maximum(1, _totals(kind, run.n_rows))
+        return out
+
     def score(self, run: Run) -> np.ndarray:
-        return sigmoid(self.slope * (features(run) @ self.weights).astype(float) + self.shift)
+        return sigmoid(self.slope * self.output(run) + self.shift)
+
+
+class Rows:
+    """Sparse rows: cells and shares of all rows, one after the other."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
+        self.start = np.cumsum([0] + [len(c) for c, _ in rows])
+        self.cell = np.concatenate([c for c, _ in rows] or [np.zeros(0, np.int32)])
+        self.share = np.concatenate([s for _, s in rows] or [np.zeros(0, np.float32)])
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
 
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        sums = np.concatenate(([0.0], np.cumsum(w[self.cell] * self.share, dtype=np.float64)))
+        return sums[self.start[1:]] - sums[self.start[:-1]]
 
-def _logistic(x: np.ndarray, y: np.ndarray, decay: float, steps: int, rate: float) -> np.ndarray:
-    """Adam on the class-balanced logistic loss."""
-    weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-    w, m, v = (np.zeros(x.shape[1], np.float32) for _ in range(3))
-    for t in range(1, steps + 1):
-        g = x.T @ ((sigmoid(x @ w) - y) * weight).astype(np.float32) + decay * w / len(y)
-        m = 0.9 * m + 0.1 * g
-        v = 0.999 * v + 0.001 * g * g
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w
+    def part(self, rows: np.ndarray) -> "Rows":
+        return Rows([(self.cell[a:b], self.share[a:b]) for a, b in zip(self.start[rows], self.start[rows + 1], strict=True)])
+
+
+def _logistic(x: Rows, y: np.ndarray) -> np.ndarray:
+    """Adam on the class-balanced logistic loss, in batches of rows."""
+    balance = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y).mean())
+    width = KINDS * WIDTH + 1  # the last weight stands for every row alike
+    w, m, v = (np.zeros(width) for _ in range(3))
+    rng, t = np.random.RandomState(8), 0
+    for _ in range(EPOCHS):
+        order = rng.permutation(len(y))
+        for at in range(0, len(y), BATCH):
+            rows = order[at : at + BATCH]
+            part, t = x.part(rows), t + 1
+            error = (sigmoid(part.dot(w[:-1]) + w[-1]) - y[rows]) * balance[rows] / len(rows)
+            each = np.repeat(error, np.diff(part.start))
+            g = np.bincount(part.cell, weights=part.share * each, minlength=width) + DECAY * w
+            g[-1] += error.sum()
+            m = 0.9 * m + 0.1 * g
+            v = 0.999 * v + 0.001 * g * g
+            w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    return w[:-1].astype(np.float32)  # the calibration finds the shift
 
 
 def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a sigmoid over outputs, by Newton steps, with smoothed targets."""
+    """Slope and shift of a sigmoid over outputs: Newton steps, halved until they help, with smoothed targets."""
     pos, neg = y.sum(), (1 - y).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    a, b = 1.0, float(np.log((pos + 1) / (neg + 1)))
+    spread = float(z.std()) or 1.0
+    x = np.stack([z / spread, np.ones(len(z))], axis=1)
+
+    def loss(c: np.ndarray) -> float:
+        out = np.clip(x @ c, -30, 30)
+        return float((np.logaddexp(0, out) - target * out).sum() + 1e-3 * c[0] ** 2)
+
+    c = np.array([1.0, float(np.log((pos + 1) / (neg + 1)))])
     for _ in range(50):
-        p = sigmoid(a * z + b)
-        g = np.array([((p - target) * z).sum(), (p - target).sum()])
-        h = p * (1 - p)
-        hessian = np.array([[(h * z * z).sum(), (h * z).sum()], [(h * z).sum(), h.sum()]])
-        step = np.linalg.solve(hessian + 1e-3 * np.eye(2), g)
-        a, b = a - step[0], b - step[1]
-    return float(max(a, 1e-3)), float(b)
+        p = sigmoid(x @ c)
+        g = x.T @ (p - target) + np.array([2e-3 * c[0], 0])
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag([2e-3, 1e-6])
+        step = np.linalg.solve(hessian, g)
+        while loss(c - step) > loss(c) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        c = c - step
+    return float(max(c[0] / spread, 1e-3)), float(c[1])
 
 
-def fit_arrays(x: np.ndarray, y: np.ndarray) -> Model:
+def fit_arrays(x: Rows, y: np.ndarray) -> Model:
     """Weights from four fifths of the rows of each kind, calibration from the others."""
     held = np.zeros(len(y), bool)
     for kind in (y > 0, y <= 0):
         held[np.flatnonzero(kind)[::5]] = True
     if min(y[held].sum(), (1 - y[held]).sum(), y[~held].sum(), (1 - y[~held]).sum()) < 1:
-        return Model(np.zeros(2 * WIDTH, np.float32), 1.0, 30.0)
-    w = _logistic(x[~held], y[~held], DECAY, STEPS, RATE)
-    return Model(w, *_calibrate(x[held] @ w, y[held]))
+        return Model(np.zeros(KINDS * WIDTH, np.float32), 1.0, 30.0)
+    w = _logistic(x.part(np.flatnonzero(~held)), y[~held])
+    return Model(w, *_calibrate(x.part(np.flatnonzero(held)).dot(w), y[held]))
 
 
 def fit(
@@ -117,25 +196,32 @@ def fit(
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in chunks(batch.column(0)):
-                x = features(run).astype(np.float16)
+                found = features(run)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(1).slice(run.first, run.n_rows),
                         batch.column(2).slice(run.first, run.n_rows),
-                        pa.array([r.tobytes() for r in x], pa.binary()),
+                        pa.array([len(c) for c, _ in found], pa.int64()),
+                        pa.array([c.tobytes() for c, _ in found], pa.binary()),
+                        pa.array([s.astype(np.float16).tobytes() for _, s in found], pa.binary()),
                     ],
-                    names=["draw", "quality", "x"],
+                    names=["draw", "quality", "n", "cells", "shares"],
                 )
 
-    rows = rows.selectExpr(text, "draw", "cast(quality as int) as quality")
-    found = rows.mapInArrow(vectors, "draw bigint, quality int, x binary").distinct()
-    table = found.toArrow()  # at most ``sample`` rows of 4 KB
-    pairs = sorted(zip(table["x"].to_pylist(), table["quality"].to_pylist(), strict=True))
-    if not pairs:
-        return fit_arrays(np.zeros((0, 2 * WIDTH), np.float32), np.zeros(0))
-    order = np.random.RandomState(8).permutation(len(pairs))
-    x = np.array([np.frombuffer(b, np.float16) for b, _ in pairs], np.float32)[order]
-    return fit_arrays(x, np.array([float(q > 0) for _, q in pairs])[order])
+    rows = rows.selectExpr(text, "draw", "cast(quality as int) as quality").dropDuplicates(["draw", "quality"])
+    found = stage(rows.mapInArrow(vectors, "draw bigint, quality int, n bigint, cells binary, shares binary"), "grams")
+    sizes = sorted((r["draw"], r["n"]) for r in found.select("draw", "n").collect())  # at most ``sample`` rows
+    held = np.cumsum([n for _, n in sizes])
+    last = int(np.searchsorted(held, ENTRIES, "right"))  # of sample documents in draw order, so many
+    if not last:
+        return fit_arrays(Rows([]), np.zeros(0))
+    table = found.where(F.col("draw") <= sizes[last - 1][0]).toArrow()  # about ``ENTRIES`` cells at most
+    order = np.argsort(table["draw"].to_numpy(), kind="stable")
+    cells, shares, quality = (table[c].to_pylist() for c in ("cells", "shares", "quality"))
+    x = Rows(
+        [(np.frombuffer(cells[i], np.int32), np.frombuffer(shares[i], np.float16).astype(np.float32)) for i in order]
+    )
+    return fit_arrays(x, np.array([float(quality[i] > 0) for i in order]))
 
 
 ADDED = (

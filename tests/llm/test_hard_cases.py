@@ -199,6 +199,37 @@ def test_items_are_found_within_their_budget(spark):
             assert ((i, k) in got) == (d <= budget), (text, item, d)
 
 
+# --------------------------------------------------------------------------
+# n-grams of the quality rules
+# --------------------------------------------------------------------------
+
+
+def test_ngrams_equal_a_plain_count():
+    texts = ["", "a", "été à l'été à l'été", "日本語 日本語の本 x", "one two one two three", "ab\n\tab  ab", "😀😀😀😀 ok"]
+    run = next(chunks(pa.array(texts)))
+    found = rules.features(run)
+    weights = np.random.RandomState(0).normal(size=rules.KINDS * rules.WIDTH).astype(np.float32)
+    outputs = rules.Model(weights, 1.0, 0.0).output(run)
+    for i, text in enumerate(texts):
+        words = [w for w in re.split("[ \t-\r]+", text) if w]
+        by_word = [tuple(words[k : k + n]) for n in (1, 2) for k in range(len(words) - n + 1)]
+        by_char = [text[k : k + n] for n in (3, 4, 5) for k in range(len(text) - n + 1)]
+        cells, shares = found[i]
+        for first, grams in ((0, by_word), (rules.WIDTH, by_char)):
+            counts = sorted(np.unique(np.array([str(g) for g in grams]), return_counts=True)[1]) if grams else []
+            own = (cells >= first) & (cells < first + rules.WIDTH)
+            assert sorted(shares[own]) == pytest.approx([rules.SCALE * c / len(grams) for c in counts])
+        assert outputs[i] == pytest.approx(float((weights[cells] * shares).sum()), abs=1e-4)
+
+
+def test_calibration_of_separable_outputs():
+    z = np.array([-3.0, -2.5, -2.0, 5.0, 6.0, 7.0])
+    slope, shift = rules._calibrate(z, np.array([0.0, 0, 0, 1, 1, 1]))
+    assert 0 < slope < 10
+    p = 1 / (1 + np.exp(-(slope * z + shift)))
+    assert p[:3].max() < 0.3 < p[3:].min()
+
+
 # --------------------------------------------------------------------------
 # Clashing columns, empty tables, SQL
 # --------------------------------------------------------------------------
