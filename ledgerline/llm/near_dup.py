@@ -63,7 +63,7 @@ _MUL = (_rng.randint(0, 1 << 31, SAMPLES).astype(np.uint32) << np.uint32(1)) | n
 _XOR = _rng.randint(0, 1 << 32, SAMPLES, dtype=np.int64).astype(np.uint32)
 
 SIGNATURE = (
-    "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, "
+    "doc_id bigint, text_hash bigint, rank bigint, n_shingles bigint, set_a bigint, set_b bigint, "
     "bands array<bigint>, sketch array<bigint>"
 )
 
@@ -131,21 +131,27 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     batch.column(0).slice(run.first, run.n_rows),
                     batch.column(2).slice(run.first, run.n_rows),
+                    batch.column(3).slice(run.first, run.n_rows),
                     pa.array(size.astype(np.int64)),
                     pa.array(set_a.view(np.int64)),
                     pa.array(set_b.view(np.int64)),
                     _lists(bands, has),
                     _lists(sketch, has),
                 ],
-                names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "sketch"],
+                names=["doc_id", "text_hash", "rank", "n_shingles", "set_a", "set_b", "bands", "sketch"],
             )
 
 
-def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Text hash, set size, set checksum, band hashes and odd sketch of every document."""
+def signatures(docs: DataFrame, text: str = "text", key: str = "doc_id", rank: str | None = None) -> DataFrame:
+    """Text hash, rank (``key`` unless given), set size, set checksum, band hashes and odd sketch of every document."""
     ship(docs.sparkSession)
     body = F.col(text).cast("string")
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("hash"))
+    rows = docs.select(
+        F.col(key).cast("long").alias("doc_id"),
+        body.alias("text"),
+        F.xxhash64(body).alias("hash"),
+        F.col(rank or key).try_cast("long").alias("rank"),
+    )
     return rows.mapInArrow(_sign, SIGNATURE)
 
 
@@ -203,20 +209,28 @@ def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+def near_duplicates(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", rank: str | None = None
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+
+    ``rank`` names a column by which texts are tried as the centre of a band first
+    (``key`` if none): it decides how much is compared, not what is found.
+    """
     body = F.col(text).cast("string")
     rows = docs.select(
         F.col(key).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("text_hash")
     ).where("doc_id is not null")
-    signed = stage(signatures(docs, text, key), "signatures")
+    signed = stage(signatures(docs, text, key, rank), "signatures")
 
     # a class of equal sets has a number and one text, however many rows repeat an id or a text
     sets = signed.where("n_shingles > 0 and doc_id is not null")
     same = ["set_a", "set_b", "n_shingles"]
-    classes = sets.groupBy(*same).agg(F.min("doc_id").alias("doc_id"))
-    classes = classes.withColumn("id", F.monotonically_increasing_id())
-    classes = stage(classes, "class-keys")  # read from files, so that the join below can split a hot class
+    classes = sets.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.min("rank").alias("rank"))
+    # numbered by rank, so that a band's smallest is its oldest text rather than any copy of it;
+    # read from files, so that the join below can split a hot class
+    classes = classes.orderBy(F.asc_nulls_last("rank"), "doc_id").withColumn("id", F.monotonically_increasing_id()).drop("rank")
+    classes = stage(classes, "class-keys")
     member = sets.select("doc_id", *same).join(classes.select("id", *same), same).select("doc_id", "id").distinct()
     member = stage(member, "members")
     reps = (
@@ -327,7 +341,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     """
     row, own, text_hash = (free_name(c, docs.columns) for c in ("__row", "__key", "__hash"))
     rows = numbered(docs, row)
-    found = near_duplicates(rows, text, row).where("n_shingles > 0")
+    found = near_duplicates(rows, text, row, key).where("n_shingles > 0")
     named = rows.select(row, F.col(key).alias(own), F.xxhash64(text).alias(text_hash))
     placed = found.select(F.col("doc_id").alias(row), "component_id").join(named, row)
     placed = stage(placed, "placed")
