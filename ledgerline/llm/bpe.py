@@ -5,7 +5,7 @@ single bytes; a fold then merges, again and again, the leftmost adjacent pair
 whose bytes have the least rank, until no pair is in the vocabulary.  A worker
 folds the distinct pieces of a run of rows together, as numpy arrays, and keeps
 ids and decoded bytes of each stretch between blanks in a dictionary of about
-``KEPT`` entries (it only saves work; results do not depend on it).  Decoding concatenates the tokens' bytes,
+``KEPT_BYTES`` (it only saves work; results do not depend on it).  Decoding concatenates the tokens' bytes,
 from the ids alone.
 
 The fold runs in Arrow batches.  The same fold as Spark higher-order functions
@@ -35,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.text import chunks
-from ledgerline.llm.workers import ship
+from ledgerline.llm.workers import held, ship
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-KEPT = 400_000
+KEPT_BYTES = 64 << 20  # of stretches, ids and bytes that a dictionary holds; the one before it is kept as long
+ENTRY_BYTES = 250  # what an entry takes besides
+LONGEST = 2048  # a longer stretch (a text without blanks) is not kept
 GROUP = 4096  # pieces folded together
 LONG = 256  # pieces beyond this many bytes use a heap of their own
 
@@ -115,6 +117,7 @@ class Codec:
         self.table = PairTable(self.pairs)
         self.young: dict[str, tuple[str, bytes]] = {}
         self.old: dict[str, tuple[str, bytes]] = {}
+        self.held = 0  # bytes of the younger dictionary
 
     def fold(self, pieces: list[bytes]) -> list[list[int]]:
         """Token ids of each piece; the pieces advance together, one merge a round."""
@@ -202,40 +205,41 @@ class Codec:
         """Bytes of token ids."""
         return b"".join([self.tokens[i] for i in ids])
 
-    def _learn(self, parts: set[str]) -> None:
-        """Encode stretches and keep them; full, the dictionary drops its older half."""
+    def _learned(self, parts: set[str]) -> dict[str, tuple[str, bytes]]:
+        """Ids and bytes of stretches."""
         cut = {part: self.pieces(part) for part in parts}
         distinct = list({p for pieces in cut.values() for p in pieces})
         folded = dict(zip(distinct, self.fold([p.encode() for p in distinct]), strict=True))
+        out = {}
         for part, pieces in cut.items():
             ids = [i for p in pieces for i in folded[p]]
-            self.young[part] = ",".join(map(str, ids)), self.decode(ids)
+            out[part] = ",".join(map(str, ids)), self.decode(ids)
+        return out
+
+    def _keep(self, entries: dict[str, tuple[str, bytes]]) -> None:
+        """Hold entries for later texts."""
+        self.young.update(entries)
+        self.held += sum(ENTRY_BYTES + len(p) + len(ids) + len(back) for p, (ids, back) in entries.items())
 
     def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Ids of each text (decimal, comma-joined) and the bytes decoded from them."""
-        if len(self.young) >= KEPT:
-            self.old, self.young = self.young, {}
+        """Ids of each text (decimal, comma-joined) and the bytes decoded from them.
+
+        Stretches are looked up in a dictionary of earlier ones; full, it drops its
+        older half.
+        """
+        if self.held >= KEPT_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
         cut = [stretches(t) if t else [] for t in texts]
-        known, old = self.young, self.old
-        fresh = {p for parts in cut for p in parts if p not in known}
-        known.update([(p, old[p]) for p in fresh if p in old])
-        self._learn({p for p in fresh if p not in known})
+        fresh = {p for parts in cut for p in parts if p not in self.young}
+        self._keep({p: self.old[p] for p in fresh if p in self.old})
+        learned = self._learned({p for p in fresh if p not in self.young})
+        self._keep({p: entry for p, entry in learned.items() if len(p) <= LONGEST})
+        long = {p: entry for p, entry in learned.items() if len(p) > LONGEST}
         for parts in cut:
-            got = [known[p] for p in parts]
+            got = [self.young[p] if len(p) <= LONGEST else long[p] for p in parts]
             yield ",".join([g[0] for g in got]), b"".join([g[1] for g in got])
 
 
-_codecs: dict[str, Codec] = {}
-
-
-def _worker_codec(name: str, shared) -> Codec:
-    """The worker's codec of one job; later tasks on the worker find its dictionary filled."""
-    if name not in _codecs:
-        _codecs.clear()
-        _codecs[name] = Codec(*shared.value)
-    return _codecs[name]
-
-
 def encode(
     docs: DataFrame, path: str = RANKS, text: str = "text", pattern: str = PATTERN
 ) -> DataFrame:
@@ -248,7 +252,7 @@ def encode(
     at = kept.index(text)
 
     def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _worker_codec(name, shared)
+        codec = held(name, lambda: Codec(*shared.value))  # later tasks find its dictionary filled
         for batch in batches:
             for run in chunks(batch.column(at)):
                 raw = run.data.tobytes()

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.text import Run, chunks, folded
-from ledgerline.llm.workers import ship
+from ledgerline.llm.workers import forget, ship
 from ledgerline.operators.staging import release, stage_at
 
 BYTES_PER_EDIT = 20
@@ -257,6 +257,7 @@ def drop_leaks(
         held = _hold(part)
 
         def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            forget()
             matcher = Matcher(held.value)
             for column in texts:
                 keep = np.ones(len(column), bool)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.rows import free_name
 from ledgerline.llm.text import Run, chunks, folded
-from ledgerline.llm.workers import ship
+from ledgerline.llm.workers import forget, ship
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 64
@@ -211,6 +211,7 @@ def predict(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
         parser = shared.value
         for column in texts:
             names: list[str] = []

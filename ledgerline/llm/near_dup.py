@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.components import components
 from ledgerline.llm.rows import free_name, numbered
 from ledgerline.llm.text import ID_BITS, chunks, mix, shingle_sets, words
-from ledgerline.llm.workers import ship
+from ledgerline.llm.workers import forget, ship
 from ledgerline.operators.staging import broadcast_if_small, stage
 
 SHINGLE = 5
@@ -113,6 +113,7 @@ def _lists(matrix: np.ndarray, has: np.ndarray) -> pa.Array:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         for run in chunks(batch.column(1)):
             row, ids = shingle_sets(words(run, lower=True), run.n_rows, SHINGLE)

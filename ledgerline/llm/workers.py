@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +39,19 @@ def ship(spark: SparkSession) -> None:
                     z.write(path, os.path.relpath(path, top))
     sc.addPyFile(archive)  # served to the executors by the driver
     _shipped.add(sc.applicationId)
+
+
+_held: dict[str, object] = {}
+
+
+def held(name: str, build: Callable[[], object]) -> object:
+    """What a job keeps in a worker from task to task; a worker keeps it for one job only."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = build()
+    return _held[name]
+
+
+def forget() -> None:
+    """Drop what an earlier job kept in this worker (called first by tasks that keep nothing)."""
+    _held.clear()
