@@ -113,22 +113,37 @@ class Model:
 
 
 class Rows:
-    """Sparse rows: cells and shares of all rows, one after the other."""
+    """Sparse rows: row i has the cells and shares from ``start[i]`` to ``stop[i]``."""
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
-        self.start = np.cumsum([0] + [len(c) for c, _ in rows])
-        self.cell = np.concatenate([c for c, _ in rows] or [np.zeros(0, np.int32)])
-        self.share = np.concatenate([s for _, s in rows] or [np.zeros(0, np.float32)])
+    def __init__(self, start: np.ndarray, stop: np.ndarray, cell: np.ndarray, share: np.ndarray):
+        self.start, self.stop, self.cell, self.share = start, stop, cell, share
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> "Rows":
+        ends = np.cumsum([0] + [len(c) for c, _ in rows])
+        cell = np.concatenate([c for c, _ in rows] or [np.zeros(0, np.int32)])
+        return cls(ends[:-1], ends[1:], cell, np.concatenate([x for _, x in rows] or [np.zeros(0, np.float32)]))
 
     def __len__(self) -> int:
-        return len(self.start) - 1
+        return len(self.start)
 
-    def dot(self, w: np.ndarray) -> np.ndarray:
-        sums = np.concatenate(([0.0], np.cumsum(w[self.cell] * self.share, dtype=np.float64)))
-        return sums[self.start[1:]] - sums[self.start[:-1]]
+    def some(self, rows: np.ndarray) -> "Rows":
+        """The same arrays, some rows of them."""
+        return Rows(self.start[rows], self.stop[rows], self.cell, self.share)
+
+    def packed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, cell and share of every entry of these rows (a copy)."""
+        n = self.stop - self.start
+        at = np.arange(n.sum()) + np.repeat(self.start - (np.cumsum(n) - n), n)
+        return np.repeat(np.arange(len(n)), n), self.cell[at], self.share[at].astype(np.float32)
 
-    def part(self, rows: np.ndarray) -> "Rows":
-        return Rows([(self.cell[a:b], self.share[a:b]) for a, b in zip(self.start[rows], self.start[rows + 1], strict=True)])
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self))
+        for at in range(0, len(self), BATCH):
+            part = self.some(np.arange(at, min(at + BATCH, len(self))))
+            row, cell, share = part.packed()
+            out[at : at + len(part)] = np.bincount(row, weights=w[cell] * share, minlength=len(part))
+        return out
 
 
 def _logistic(x: Rows, y: np.ndarray) -> np.ndarray:
@@ -141,10 +156,10 @@ def _logistic(x: Rows, y: np.ndarray) -> np.ndarray:
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
             rows = order[at : at + BATCH]
-            part, t = x.part(rows), t + 1
-            error = (sigmoid(part.dot(w[:-1]) + w[-1]) - y[rows]) * balance[rows] / len(rows)
-            each = np.repeat(error, np.diff(part.start))
-            g = np.bincount(part.cell, weights=part.share * each, minlength=width) + DECAY * w
+            (row, cell, share), t = x.some(rows).packed(), t + 1
+            output = np.bincount(row, weights=w[cell] * share, minlength=len(rows)) + w[-1]
+            error = (sigmoid(output) - y[rows]) * balance[rows] / len(rows)
+            g = np.bincount(cell, weights=share * error[row], minlength=width) + DECAY * w
             g[-1] += error.sum()
             m = 0.9 * m + 0.1 * g
             v = 0.999 * v + 0.001 * g * g
@@ -182,8 +197,8 @@ def fit_arrays(x: Rows, y: np.ndarray) -> Model:
         held[np.flatnonzero(kind)[::5]] = True
     if min(y[held].sum(), (1 - y[held]).sum(), y[~held].sum(), (1 - y[~held]).sum()) < 1:
         return Model(np.zeros(KINDS * WIDTH, np.float32), 1.0, 30.0)
-    w = _logistic(x.part(np.flatnonzero(~held)), y[~held])
-    return Model(w, *_calibrate(x.part(np.flatnonzero(held)).dot(w), y[held]))
+    w = _logistic(x.some(np.flatnonzero(~held)), y[~held])
+    return Model(w, *_calibrate(x.some(np.flatnonzero(held)).dot(w), y[held]))
 
 
 def fit(
@@ -214,14 +229,24 @@ def fit(
     held = np.cumsum([n for _, n in sizes])
     last = int(np.searchsorted(held, ENTRIES, "right"))  # of sample documents in draw order, so many
     if not last:
-        return fit_arrays(Rows([]), np.zeros(0))
-    table = found.where(F.col("draw") <= sizes[last - 1][0]).toArrow()  # about ``ENTRIES`` cells at most
+        return fit_arrays(Rows.of([]), np.zeros(0))
+    chosen = found.where(F.col("draw") <= sizes[last - 1][0])
+    table = chosen.drop("n").toArrow().combine_chunks()  # about ``ENTRIES`` cells at most
     order = np.argsort(table["draw"].to_numpy(), kind="stable")
-    cells, shares, quality = (table[c].to_pylist() for c in ("cells", "shares", "quality"))
-    x = Rows(
-        [(np.frombuffer(cells[i], np.int32), np.frombuffer(shares[i], np.float16).astype(np.float32)) for i in order]
-    )
-    return fit_arrays(x, np.array([float(quality[i] > 0) for i in order]))
+    # the columns' own bytes, not copied: the entries of all rows, one after the other
+    start, stop, cell = _joined(table["cells"], np.int32)
+    _, _, share = _joined(table["shares"], np.float16)
+    y = (table["quality"].to_numpy() > 0).astype(float)
+    return fit_arrays(Rows(start[order], stop[order], cell, share), y[order])
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each row of a binary column starts and stops in the values of all, and these values."""
+    column = column.chunk(0)
+    _, offsets, data = column.buffers()
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(offsets, wide)[column.offset : column.offset + len(column) + 1] // np.dtype(kind).itemsize
+    return ends[:-1].astype(np.int64), ends[1:].astype(np.int64), np.frombuffer(data, kind)
 
 
 ADDED = (

@@ -235,7 +235,7 @@ def test_decontaminate(spark, docs):
 
 
 def test_counts(docs):
-    for r in rules.judge(docs, rules.fit_arrays(rules.Rows([]), np.zeros(0))).collect():
+    for r in rules.judge(docs, rules.fit_arrays(rules.Rows.of([]), np.zeros(0))).collect():
         t = r.text or ""
         w = WORDS.findall(t)
         grams = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
