@@ -39,7 +39,8 @@ from ledgerline.llm.workers import held, ship
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-KEPT_BYTES = 64 << 20  # of stretches, ids and bytes that a dictionary holds; the one before it is kept as long
+KEPT_BYTES = 16 << 20  # of stretches, ids and bytes that a dictionary holds; the one before it is kept as long
+RUN = 256 << 10  # bytes of text encoded together
 ENTRY_BYTES = 250  # what an entry takes besides
 LONGEST = 2048  # a longer stretch (a text without blanks) is not kept
 GROUP = 4096  # pieces folded together
@@ -106,15 +107,16 @@ class Codec:
         self.ranks = ranks
         self.pieces = regex.compile(pattern).findall
         self.tokens = [b""] * (max(ranks.values()) + 1)
-        self.pairs: dict[tuple[int, int], int] = {}  # adjacent tokens -> the token they join to
+        pairs: dict[tuple[int, int], int] = {}  # adjacent tokens -> the token they join to
         for token, rank in ranks.items():
             self.tokens[rank] = token
             for i in range(1, len(token)):
                 a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
-                    self.pairs[a, b] = rank
+                    pairs[a, b] = rank
+        self.names = [str(i) for i in range(len(self.tokens))]
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.table = PairTable(self.pairs)
+        self.table = PairTable(pairs)
         self.young: dict[str, tuple[str, bytes]] = {}
         self.old: dict[str, tuple[str, bytes]] = {}
         self.held = 0  # bytes of the younger dictionary
@@ -181,7 +183,7 @@ class Codec:
         heap: list[tuple[int, int, int, int]] = []
 
         def offer(i: int, j: int) -> None:
-            rank = self.pairs.get((ids[i], ids[j]))
+            rank = self.ranks.get(self.tokens[ids[i]] + self.tokens[ids[j]])
             if rank is not None:
                 heapq.heappush(heap, (rank, i, ids[i], ids[j]))
 
@@ -210,10 +212,10 @@ class Codec:
         cut = {part: self.pieces(part) for part in parts}
         distinct = list({p for pieces in cut.values() for p in pieces})
         folded = dict(zip(distinct, self.fold([p.encode() for p in distinct]), strict=True))
-        out = {}
+        names, out = self.names, {}
         for part, pieces in cut.items():
-            ids = [i for p in pieces for i in folded[p]]
-            out[part] = ",".join(map(str, ids)), self.decode(ids)
+            ids = folded[pieces[0]] if len(pieces) == 1 else [i for p in pieces for i in folded[p]]
+            out[part] = ",".join([names[i] for i in ids]), self.decode(ids)
         return out
 
     def _keep(self, entries: dict[str, tuple[str, bytes]]) -> None:
@@ -230,13 +232,13 @@ class Codec:
         if self.held >= KEPT_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
         cut = [stretches(t) if t else [] for t in texts]
-        fresh = {p for parts in cut for p in parts if p not in self.young}
+        fresh = set().union(*cut).difference(self.young)
         self._keep({p: self.old[p] for p in fresh if p in self.old})
-        learned = self._learned({p for p in fresh if p not in self.young})
-        self._keep({p: entry for p, entry in learned.items() if len(p) <= LONGEST})
-        long = {p: entry for p, entry in learned.items() if len(p) > LONGEST}
+        learned = self._learned(fresh.difference(self.young))
+        long = {p: learned.pop(p) for p in [p for p in learned if len(p) > LONGEST]}
+        self._keep(learned)
         for parts in cut:
-            got = [self.young[p] if len(p) <= LONGEST else long[p] for p in parts]
+            got = [self.young[p] for p in parts] if not long else [self.young.get(p) or long[p] for p in parts]
             yield ",".join([g[0] for g in got]), b"".join([g[1] for g in got])
 
 
@@ -254,7 +256,7 @@ def encode(
     def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = held(name, lambda: Codec(*shared.value))  # later tasks find its dictionary filled
         for batch in batches:
-            for run in chunks(batch.column(at)):
+            for run in chunks(batch.column(at), RUN):
                 raw = run.data.tobytes()
                 counts, joined, decoded = [], [], []
                 texts = [raw[a:b].decode() for a, b in zip(run.offsets, run.offsets[1:], strict=False)]

@@ -6,6 +6,7 @@ import base64
 import collections
 import hashlib
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -196,6 +197,18 @@ def test_long_pieces_fold_alike():
     assert codec.decode(codec.fold([b"a" * 5000])[0]) == b"a" * 5000
 
 
+def test_codec_stays_small():
+    codec = bpe.Codec(bpe.read_ranks(bpe.RANKS))
+    for i in range(0, 250_000, 25_000):  # distinct words, more than are kept
+        text = " ".join([f"w{j:x}" for j in range(i, i + 25_000)])
+        assert b"".join(back for _, back in codec.encode([text])) == text.encode()
+    long = "w1 " + "x" * 5000  # its second stretch is not kept
+    ids = [i for p in codec.pieces(long) for i in codec.fold([p.encode()])[0]]
+    assert list(codec.encode(["", long])) == [("", b""), (",".join(map(str, ids)), long.encode())]
+    kept = [*codec.young.items(), *codec.old.items()]
+    assert sum(sys.getsizeof(x) for p, e in kept for x in (p, e, *e)) < 36 << 20  # of Python objects
+
+
 def test_secret_base_spans(docs):
     assign = re.compile(
         r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
