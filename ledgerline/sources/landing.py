@@ -31,6 +31,7 @@ from ledgerline.session import path_exists
 USAGE_PARTITIONS = ["product", "year", "month", "day"]
 COST_PARTITIONS = ["product", "year", "month"]
 PRODUCT_PATTERN = r"product=([^/]+)"
+ROWS_A_FILE = 1_000_000  # at most; a reader's task gets a whole row group, however well it is compressed
 
 
 def _write(df: DataFrame, root: str, partitions: list[str], mode: str, skip_empty: bool) -> int:
@@ -43,6 +44,7 @@ def _write(df: DataFrame, root: str, partitions: list[str], mode: str, skip_empt
         .hint("rebalance", *partitions)
         .write.mode(mode)
         .option("compression", "snappy")
+        .option("maxRecordsPerFile", str(ROWS_A_FILE))
         .partitionBy(*partitions)
         .parquet(root)
     )

@@ -10,7 +10,8 @@ daily catch-up runs without holding a cluster.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,25 @@ MAX_FILE_AGE = "36500d"
 # there and older is one that was not read: it gets the present time first.
 ARCHIVED_FILE_DAYS = 7
 
+# The sink sorts the rows of a task by partition in memory.  By default Spark deals a
+# batch's files over as many tasks as there are cores, so a task grows with the input;
+# with these a task reads two small files or this much of larger ones, at least a row
+# group (landed files have at most ``landing.ROWS_A_FILE`` rows).
+TASK_FILES = {"spark.sql.files.maxPartitionBytes": "8m", "spark.sql.files.openCostInBytes": "4m"}
+
+
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """File scans planned inside read ``TASK_FILES`` a task (a stream's scans follow the session that made its reader)."""
+    before = {k: spark.conf.get(k) for k in TASK_FILES}
+    try:
+        for k, v in TASK_FILES.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
 
 def finish(query: StreamingQuery, timeout_s: float | None) -> None:
     """Wait for the end of an availableNow query; a timeout is an error, not an end."""
@@ -129,11 +149,12 @@ def ingest(
         .partitionBy(*BRONZE_PARTITIONS)
     )
     writer = writer.trigger(availableNow=True) if batches is None else writer.trigger(processingTime="0 seconds")
-    query = writer.toTable(table) if table else writer.start(bronze_path)
-    if batches is None:
-        finish(query, timeout_s)
-    else:
-        _stop_after(query, batches, timeout_s)
+    with small_tasks(spark):
+        query = writer.toTable(table) if table else writer.start(bronze_path)
+        if batches is None:
+            finish(query, timeout_s)
+        else:
+            _stop_after(query, batches, timeout_s)
     return query.lastProgress or {}
 
 

@@ -229,3 +229,21 @@ def test_upsert_releases_its_staging(spark, tmp_dir, monkeypatch):
     assert not any(os.path.exists(p.replace("file:", "")) for p in seen)
     assert [tuple(r) for r in info["touched"].collect()] == [("apm", 2024, 1)]
     assert [r.value for r in read_table(spark, path, silver(spark, []).schema).collect()] == [2.0]
+
+
+def test_stream_tasks_and_landed_files_stay_small(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(landing, "ROWS_A_FILE", 2)
+    days = [f"2024-01-{d:02d}" for d in range(1, 31)]
+    rows = [("logs", day, f"org{i}", "m", 1.0 + i, "bytes") for day in days for i in range(2)]
+    rows += [("logs", "2024-01-31", f"org{i}", "m", 1.0 + i, "bytes") for i in range(5)]
+    root, bronze = f"{tmp_dir}/raw", f"{tmp_dir}/bronze"
+    landing.write_usage(usage_df(spark, rows), root)
+    assert len(landing.file_audit(spark, root).collect()) == 30 + 3
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    ingest(spark, root, bronze, f"{tmp_dir}/ckpt", timeout_s=120)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    got = read_bronze(spark, bronze)
+    assert sorted(tuple(r)[:6] for r in got.collect()) == sorted(rows)
+    task = F.regexp_extract(F.col("_metadata.file_path"), r"/part-(\d+)-", 1)
+    most = got.groupBy(task.alias("task")).agg(F.countDistinct("_source_file").alias("files")).agg(F.max("files"))
+    assert most.first()[0] <= 2  # of one batch of 33 files on 4 cores
