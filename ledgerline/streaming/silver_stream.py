@@ -24,7 +24,7 @@ from ledgerline.operators.silver import transform
 from ledgerline.operators.upsert import upsert
 from ledgerline.schemas import SILVER_PARTITIONS
 from ledgerline.session import path_exists
-from ledgerline.streaming.bronze_stream import BRONZE_SCHEMA, MAX_FILE_AGE, finish
+from ledgerline.streaming.bronze_stream import BRONZE_SCHEMA, MAX_FILE_AGE, finish, small_tasks
 
 
 CHANGES_SCHEMA = "product string, year int, month int, stream_id string, batch_id long"
@@ -95,10 +95,11 @@ def upsert_stream(
             tagged = tagged.withColumn("stream_id", F.lit(own)).withColumn("batch_id", F.lit(epoch).cast("long"))
             tagged.coalesce(1).write.mode("append").parquet(changes_path)
 
-    query = (
-        bronze.writeStream.foreachBatch(merge_batch)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
-    finish(query, timeout_s)
+    with small_tasks(spark):
+        query = (
+            bronze.writeStream.foreachBatch(merge_batch)
+            .option("checkpointLocation", checkpoint_path)
+            .trigger(availableNow=True)
+            .start()
+        )
+        finish(query, timeout_s)

@@ -247,3 +247,22 @@ def test_stream_tasks_and_landed_files_stay_small(spark, tmp_dir, monkeypatch):
     task = F.regexp_extract(F.col("_metadata.file_path"), r"/part-(\d+)-", 1)
     most = got.groupBy(task.alias("task")).agg(F.countDistinct("_source_file").alias("files")).agg(F.max("files"))
     assert most.first()[0] <= 2  # of one batch of 33 files on 4 cores
+
+
+def test_silver_stream_reads_small_tasks(spark, tmp_dir, monkeypatch):
+    from ledgerline.streaming import silver_stream
+
+    days = [f"2024-01-{d:02d}" for d in range(1, 31)]
+    rows = [("logs", day, "org", "m", 1.0, "bytes") for day in days]
+    land(spark, f"{tmp_dir}/raw", rows)
+    ingest(spark, f"{tmp_dir}/raw", f"{tmp_dir}/bronze", f"{tmp_dir}/c1", timeout_s=120)
+    tasks = []
+
+    def noted(batch, *args, **options):
+        tasks.append(batch.rdd.getNumPartitions())
+        return upsert(batch, *args, **options)
+
+    monkeypatch.setattr(silver_stream, "upsert", noted)
+    upsert_stream(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/c2", timeout_s=120)
+    assert tasks == [15]  # two of the 30 files each, whatever the number of cores
+    assert read_table(spark, f"{tmp_dir}/silver").count() == 30
