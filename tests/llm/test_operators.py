@@ -209,6 +209,29 @@ def test_codec_stays_small():
     assert sum(sys.getsizeof(x) for p, e in kept for x in (p, e, *e)) < 36 << 20  # of Python objects
 
 
+def test_codec_cuts_distinct_stretches_together():
+    codec = bpe.Codec(bpe.read_ranks(bpe.RANKS))
+    calls, cut = [], codec.pieces
+    codec.pieces = lambda text: calls.append(1) or cut(text)
+    text = " ".join(f"w{j:x}" for j in range(20_000))
+    enc = encoding(bpe.RANKS)
+    assert list(codec.encode([text])) == [(",".join(map(str, enc.encode_ordinary(text))), text.encode())]
+    assert len(calls) < 100  # not a call a stretch
+
+
+@pytest.mark.parametrize("kept", [0, bpe.KEPT_BYTES])
+def test_codec_equals_library_on_odd_white_space(kept, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_BYTES", kept)  # with 0 the stretches kept change with every run
+    codec, enc = bpe.Codec(bpe.read_ranks(bpe.RANKS)), encoding(bpe.RANKS)
+    parts = [" ", " ", "  ", "\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000"]
+    parts += ["a", "the", "ing", "'s", "'", "1", "22", "é", "日本", "’", "!", "😀", "Привет", "\x00", "²", "z" * 300]
+    rng = np.random.RandomState(7)
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts, rng.choice([0, 1, 2, 8, 60]))) for _ in range(rng.choice([1, 30]))]
+        want = [(",".join(map(str, enc.encode_ordinary(t))), t.encode()) for t in texts]
+        assert list(codec.encode(texts)) == want
+
+
 def test_secret_base_spans(docs):
     assign = re.compile(
         r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
