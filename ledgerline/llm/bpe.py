@@ -37,13 +37,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.text import SPACES, Run, chunks
+from ledgerline.llm.text import IS_SPACE, Run, chunks
 from ledgerline.llm.workers import held, ship
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-KEPT_BYTES = 4 << 20  # of stretches, ids and bytes that are kept; the ones before them are kept as long
-RUN = 1 << 20  # bytes of text encoded together
+KEPT_BYTES = 2 << 20  # of stretches, ids and bytes that are kept; the ones before them are kept as long
+RUN = 512 << 10  # bytes of text encoded together
 LONGEST = 2048  # a longer stretch (a text without blanks) is not kept
 CELLS = 1 << 16  # bytes of pieces folded together
 LONG = 256  # pieces beyond this many bytes use a heap of their own
@@ -54,15 +54,14 @@ _NONE = (1 << RANK_BITS) - 1  # above every rank
 
 Entries = tuple[pa.Array, pa.Array, pa.Array, pa.Array]  # stretches, ids, decoded bytes, numbers of tokens
 
-_wide = [c.encode() for c in map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+_wide = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_wide = [chr(c).encode() for c in _wide]
 WIDE_SPACES = {n: np.array([int.from_bytes(c) for c in _wide if len(c) == n]) for n in (2, 3)}
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[list(SPACES)] = True
 
 
 def white(data: np.ndarray) -> np.ndarray:
     """Whether each byte of UTF-8 text belongs to a white space character."""
-    mask = _IS_SPACE[data]
+    mask = IS_SPACE[data]
     for n, codes in WIDE_SPACES.items():
         firsts = np.unique(codes >> 8 * (n - 1))
         lead = np.flatnonzero(np.isin(data[: max(len(data) - n + 1, 0)], firsts.astype(np.uint8)))
@@ -237,7 +236,8 @@ class Codec:
         ids[1:-1][inside] = self.bytes[read[inside]]
         best = np.full((width + 2, n), _NONE << PLACE_BITS, np.uint32)  # rank of each token with the next, and place
         both = inside[1:]
-        best[1:-2][both] = (self.byte_pairs[(read[:-1] << 8 | read[1:])] << PLACE_BITS | place[:-1].astype(np.uint32))[both]
+        ranks = self.byte_pairs[read[:-1] << 8 | read[1:]]
+        best[1:-2][both] = (ranks << PLACE_BITS | place[:-1].astype(np.uint32))[both]
         ids, flat = ids.ravel(), best.ravel()
         after = np.arange(n, len(ids) + n, dtype=np.int32)
         before = np.arange(-n, len(ids) - n, dtype=np.int32)
@@ -354,7 +354,8 @@ class Codec:
         self.runs += 1
         starts = stretch_starts(run)
         if not len(starts):
-            return np.zeros(run.n_rows, np.int64), pa.array([""] * run.n_rows), pa.array([b""] * run.n_rows, pa.binary())
+            empty = pa.array([""] * run.n_rows, pa.string())
+            return np.zeros(run.n_rows, np.int64), empty, empty.cast(pa.binary())
         cut = np.append(starts, len(run.data)).astype(np.int32)
         stretches = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cut), pa.py_buffer(run.data)])
         kept = [*self.old.values(), *self.young.values()]
